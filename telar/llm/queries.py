@@ -9,6 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 from telar.session import table as _t
 
 
+def _p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.repetition import found
+
+    return found(_t(spark, sf, "documents"))
+
+
+def _p1_repetition(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.repetition import repetition
+
+    return repetition(_t(spark, sf, "documents"))
+
+
+def _p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.quality import found
+
+    return found(_t(spark, sf, "chunks"))
+
+
+def _p3_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.quality import chunk_quality
+
+    return chunk_quality(_t(spark, sf, "chunks"))
+
+
 def _p7_found(spark: SparkSession, sf: str) -> DataFrame:
     from telar.llm.lookalike import lookalike_pairs
 
@@ -41,6 +65,10 @@ def _p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_found": _p1_found,
+        "p1_repetition": _p1_repetition,
+        "p3_found": _p3_found,
+        "p3_statistics": _p3_statistics,
         "p7_found": _p7_found,
         "p7_normalised": _p7_normalised,
         "p8_ids": _p8_ids,
