@@ -21,6 +21,18 @@ def _p1_repetition(spark: SparkSession, sf: str) -> DataFrame:
     return repetition(_t(spark, sf, "documents"))
 
 
+def _p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.language import found
+
+    return found(_t(spark, sf, "documents"))
+
+
+def _p2_passages(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.language import languages
+
+    return languages(_t(spark, sf, "documents"))
+
+
 def _p3_found(spark: SparkSession, sf: str) -> DataFrame:
     from telar.llm.quality import found
 
@@ -67,6 +79,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": _p1_found,
         "p1_repetition": _p1_repetition,
+        "p2_found": _p2_found,
+        "p2_passages": _p2_passages,
         "p3_found": _p3_found,
         "p3_statistics": _p3_statistics,
         "p7_found": _p7_found,
