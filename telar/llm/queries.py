@@ -75,6 +75,18 @@ def _p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return leaks(_t(spark, sf, "documents"), _t(spark, sf, "eval_items"))
 
 
+def _p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.mojibake import found
+
+    return found(_t(spark, sf, "documents"))
+
+
+def _p10_restored(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.mojibake import restored
+
+    return restored(_t(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": _p1_found,
@@ -88,6 +100,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_ids": _p8_ids,
         "p9_found": _p9_found,
         "p9_leaks": _p9_leaks,
+        "p10_found": _p10_found,
+        "p10_restored": _p10_restored,
     }
 
 
