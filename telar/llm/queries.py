@@ -45,6 +45,26 @@ def _p3_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return chunk_quality(_t(spark, sf, "chunks"))
 
 
+def _p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.sentences import found
+
+    return found(_t(spark, sf, "documents"), _t(spark, sf, "muestra"))
+
+
+def _p4_documents(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.sentences import corpus_lexicon, sentences
+
+    documents = _t(spark, sf, "documents")
+    return sentences(documents, corpus_lexicon(documents))
+
+
+def _p4_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.sentences import corpus_lexicon, sentences
+
+    chunks = _t(spark, sf, "chunks").select("chunk_id", "texto").dropDuplicates(["chunk_id"])
+    return sentences(chunks, corpus_lexicon(chunks.withColumnRenamed("texto", "text")), "chunk_id", "texto", "string")
+
+
 def _p7_found(spark: SparkSession, sf: str) -> DataFrame:
     from telar.llm.lookalike import lookalike_pairs
 
@@ -95,6 +115,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_passages": _p2_passages,
         "p3_found": _p3_found,
         "p3_statistics": _p3_statistics,
+        "p4_found": _p4_found,
+        "p4_documents": _p4_documents,
+        "p4_chunks": _p4_chunks,
         "p7_found": _p7_found,
         "p7_normalised": _p7_normalised,
         "p8_ids": _p8_ids,
