@@ -65,6 +65,24 @@ def _p4_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return sentences(chunks, corpus_lexicon(chunks.withColumnRenamed("texto", "text")), "chunk_id", "texto", "string")
 
 
+def _p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.scans import found
+
+    return found(_t(spark, sf, "documents"))
+
+
+def _p5_noise(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.scans import noise
+
+    return noise(_t(spark, sf, "documents"))
+
+
+def _p5_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.scans import repaired
+
+    return repaired(_t(spark, sf, "documents"))
+
+
 def _p7_found(spark: SparkSession, sf: str) -> DataFrame:
     from telar.llm.lookalike import lookalike_pairs
 
@@ -118,6 +136,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": _p4_found,
         "p4_documents": _p4_documents,
         "p4_chunks": _p4_chunks,
+        "p5_found": _p5_found,
+        "p5_noise": _p5_noise,
+        "p5_repaired": _p5_repaired,
         "p7_found": _p7_found,
         "p7_normalised": _p7_normalised,
         "p8_ids": _p8_ids,
