@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -26,7 +27,8 @@ SMALL_SHARE = 0.1
 
 _WORD = r"[^\W\d_](?:[^\W_]|[̀-ͯ])*"
 _LOWER = re.compile(rf"(?<![^\W_])[^\W\d_](?:[^\W_]|[̀-ͯ])*(?![^\W_])")
-_DOTTED = re.compile(r"(?<![^\W_.])((?:[^\W\d_]|[̀-ͯऀ-ॿ])+(?:\.(?:[^\W\d_])+)*)\.(?=([ \t  ]*\n?[ \t]*)(.?)([^\W\d_]*))")
+_LETTERS = re.compile(r"(?:[^\W\d_]|[̀-ͯऀ-ॿ])+")
+_END = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[̀-ͯऀ-ॿ])+$")
 _TERMINAL = ".!?…。！？．।॥؟۔"
 _FULL = "。！？．।॥"
 _CLOSE = {"»": "«", "”": "“", "」": "「", "』": "『", ")": "(", "）": "（", "]": "[", "】": "【", "》": "《", "›": "‹"}
@@ -62,19 +64,33 @@ def evidence(text: str) -> Evidence:
     for m in _LOWER.finditer(text):
         if m[0][0].islower():
             e.lower.add(m[0])
-    for m in _DOTTED.finditer(text):
+    for w, gap, after in _stops(text):
         # A digit may begin a sentence behind a long word.
-        if _unambiguous(m) and (len(m[1]) <= 4 or not m[3].isdigit()):
-            e.short.add(m[1])
+        if _unambiguous(gap, after[:1]) and (len(w) <= 4 or not after[:1].isdigit()):
+            e.short.add(w)
     return e
 
 
-def _unambiguous(m: re.Match) -> bool:
+def _stops(text: str) -> Iterator[tuple[str, str, str]]:
+    """(word, blanks, what follows) at every full stop behind a word of at most 12 characters; dotted abbreviations are one word."""
+    parts = text.split(".")
+    before = ""
+    for a, b in zip(parts, parts[1:]):
+        m = _END.search(a[-14:])
+        word = m[0] if m else ""
+        if word and before and len(word) == len(a):
+            word = f"{before}.{word}"
+        before = word
+        if word and len(word) <= 12:
+            after = b.lstrip(" \t\u00a0\u202f")
+            yield word, b[: len(b) - len(after)] + ("\n" if after[:1] == "\n" else ""), after
+
+
+def _unambiguous(gap: str, first: str) -> bool:
     """Whether what follows a word and its full stop shows that no sentence ends there: a small letter, a digit or a comma in the same line."""
-    gap, c = m[2], m[3]
-    if "\n" in gap or not c:
+    if "\n" in gap or not first:
         return False
-    return c in ",;:" and not gap or bool(gap) and (c.islower() or c.isdigit())
+    return first in ",;:" and not gap or bool(gap) and (first.islower() or first.isdigit())
 
 
 def corpus_lexicon(documents: DataFrame, share: float = SHARE, least: int = MIN_DOCUMENTS) -> Lexicon:
@@ -93,20 +109,25 @@ def corpus_lexicon(documents: DataFrame, share: float = SHARE, least: int = MIN_
                 if not t:
                     continue
                 mine = {("", "documents")}
+                words = _LETTERS.findall(t)
+                often = Counter(words)
+                for w in often:
+                    if w[0].islower():
+                        mine.add((w, "lower"))
+                    elif len(w) == 1 or not w.isupper():
+                        mine.add((w.lower(), "upper"))
                 dotted: Counter[str] = Counter()
-                for m in _DOTTED.finditer(t):
-                    w = m[1]
-                    if len(w) <= 12:
-                        mine.add((w, "short" if _unambiguous(m) else "name" if m[3].isupper() and m[4] else "end"))
-                        dotted[w] += 1
-                        if m[3].isupper():
-                            mine.add((w + "\x1f" + m[3] + m[4], "next"))
-                plain = set(_LOWER.findall(t))
-                mine.update((w, "lower") if w[0].islower() else (w.lower(), "upper") for w in plain if not w.isupper() or len(w) == 1)
-                # A word that also stands without a full stop somewhere in the document.
-                words = Counter(_LOWER.findall(t)) if dotted else {}
-                mine.update((w, "bare") for w, k in dotted.items() if words.get(w, 0) > k)
-                mine.update((w, "bare") for w in plain if len(w) <= 5 and w not in dotted)
+                for w, gap, after in _stops(t):
+                    dotted[w] += 1
+                    first = after[:1]
+                    if _unambiguous(gap, first):
+                        mine.add((w, "short"))
+                    elif first.isupper() and after[1:2].isalpha():
+                        mine.add((w, "name"))
+                        mine.add((f"{w}\x1f{_LETTERS.match(after)[0]}", "next"))
+                    else:
+                        mine.add((w, "end"))
+                mine.update((w, "only") for w, k in dotted.items() if often[w] <= k)
                 seen.update(mine)
             return flush() if len(seen) > 200_000 else None
 
@@ -116,25 +137,25 @@ def corpus_lexicon(documents: DataFrame, share: float = SHARE, least: int = MIN_
     counts = map_rows(documents.select("text"), make, "word string, kind string, n bigint").groupBy("word", "kind").agg(F.sum("n").alias("n"))
     total = counts.where("kind = 'documents'").agg(F.sum("n"))
     kept = counts.crossJoin(F.broadcast(total.toDF("total"))).where((F.col("kind") != "documents") & (F.col("n") >= F.greatest(F.lit(float(least)), F.lit(share) * F.col("total"))))  # one row
-    by: dict[str, dict[str, int]] = {"lower": {}, "short": {}, "name": {}, "end": {}, "bare": {}, "next": {}, "upper": {}}
+    by: dict[str, dict[str, int]] = {"lower": {}, "short": {}, "name": {}, "end": {}, "only": {}, "next": {}, "upper": {}}
     for r in kept.select("word", "kind", "n").toLocalIterator():
         by[r["kind"]][r["word"]] = r["n"]
     # Texts in small letters throughout write names small too: a few such are no evidence against many capitals.
     lower = frozenset(w for w, n in by["lower"].items() if n >= SMALL_SHARE * by["upper"].get(w, 0))
     # What follows an abbreviation that stands before names is rarely a word that has a small form.
-    names: Counter[str] = Counter()
     common: Counter[str] = Counter()
     for k, n in by["next"].items():
         w, follower = k.split("\x1f")
-        (common if follower.lower() in lower else names)[w] += n
+        if follower.lower() in lower:
+            common[w] += n
     short = set()
     for w in by["short"].keys() | by["name"].keys():
-        yes, other, bare = by["short"].get(w, 0), by["name"].get(w, 0) + by["end"].get(w, 0), by["bare"].get(w, 0)
+        yes, other, bare = by["short"].get(w, 0), by["name"].get(w, 0) + by["end"].get(w, 0), max(0, by["lower"].get(w, by["upper"].get(w.lower(), 0)) - by["only"].get(w, 0))
         if "." in w and yes:
             short.add(w)
         elif yes >= 0.2 * (yes + other) and yes >= 0.5 * bare:
             short.add(w)
-        elif len(w) <= 5 and bare <= 0.1 * (yes + other) and common[w] <= 0.3 * (yes + other) and names[w] + yes >= 0.5 * (yes + other):
+        elif len(w) <= 5 and bare <= 0.1 * (yes + other) and common[w] <= 0.3 * (yes + other) and by["name"].get(w, 0) - common[w] + yes >= 0.5 * (yes + other):
             # Never without its full stop, and before names or scattered followers: a title.
             short.add(w)
     return Lexicon(lower, frozenset(short))
