@@ -222,10 +222,10 @@ def _lines(text: str, own: Evidence, corpus: Lexicon) -> set[int]:
             continue
         m = _FIRST.match(b)
         word = m[1] or ""
-        if wrapped[i] or a[-1] in _TERMINAL:
+        if wrapped[i] and not _MARKER.match(a) or a[-1] in _TERMINAL:
             continue
         if word[:1].isupper() and _is_common(word, own, corpus) and a[-1] not in ",;:":
-            # In a paragraph of two lines a capital that no name accounts for begins something new.
+            # Behind an item, or in a paragraph of two lines, a capital that no name accounts for begins something new.
             hard.add(at)
     return hard
 
