@@ -47,7 +47,7 @@ def orphan_lines(chunks: DataFrame) -> DataFrame:
 def characters(documents: DataFrame, pattern: str) -> DataFrame:
     """(codigo, n, n_docs): how often each character of a class occurs, by its code point."""
     hits = documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(1))).alias("c"))
-    return hits.groupBy(F.hex(F.encode("c", "UTF-32BE")).alias("codigo")).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
+    return hits.groupBy(F.hex(F.encode("c", "utf-32")).alias("codigo")).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 
 
 def alphabets(documents: DataFrame) -> DataFrame:
