@@ -97,7 +97,7 @@ def markdown_text(text: Column) -> Column:
     t = F.regexp_replace(t, r"!\[[^\]]*\]\([^)]*\)", "")
     t = F.regexp_replace(t, r"\[([^\]]*)\]\([^)]*\)", "$1")
     t = F.regexp_replace(t, r"`([^`]*)`", "$1")
-    return F.trim(F.regexp_replace(t, r"(?m)^#{1,6}\s*", ""))
+    return F.regexp_replace(F.regexp_replace(t, r"(?m)^#{1,6}\s*", ""), r"^\s+|\s+$", "")
 
 
 def html_text(text: Column) -> Column:

@@ -47,7 +47,7 @@ def clean(lines: DataFrame) -> DataFrame:
     row = F.struct("page_no", "line_no", "line", "gone")
     doc = marked.groupBy("doc_id").agg(F.sum("n").alias("antes"), F.sum(F.when(F.col("gone").isNull(), F.col("n")).otherwise(0)).alias("despues"), F.array_sort(F.collect_list(row)).alias("rows"))
     too_much = F.col("antes") - F.col("despues") > C.REMOVABLE_SHARE * F.col("antes")
-    left = F.filter("rows", lambda x: too_much | x["gone"].isNull())
+    left = F.when(too_much, F.col("rows")).otherwise(F.filter("rows", lambda x: x["gone"].isNull()))
     return doc.select("doc_id", "antes", F.when(too_much, F.col("antes")).otherwise(F.col("despues")).alias("despues"), F.array_join(F.transform(left, lambda x: x["line"]), "\n").alias("texto"))
 
 

@@ -90,18 +90,18 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, n: int, seed: int =
 
     Only the rows below a hash bound are ranked: with some slack for luck, never a whole stratum.
     """
-    d = df.select(F.col(key), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias(stratum))
-    sizes = d.groupBy(stratum).agg(F.count("*").alias("k"))
-    total = sizes.agg(F.sum("k").alias("total"))
-    quota = F.least(F.col("k"), F.greatest(F.lit(1), F.bround(F.lit(float(n)) * F.col("k") / F.col("total")).cast("bigint")))
-    q = sizes.crossJoin(F.broadcast(total)).select(stratum, "k", quota.alias("quota"))  # one row
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
-    w = W.partitionBy(stratum).orderBy("h", key)
-    drawn = d.withColumn("h", h).join(F.broadcast(q), stratum)  # a row per stratum
+    d = df.select(F.col(key).alias("_key"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum"))
+    sizes = d.groupBy("_stratum").agg(F.count("*").alias("_size"))
+    total = sizes.agg(F.sum("_size").alias("_total"))
+    quota = F.least(F.col("_size"), F.greatest(F.lit(1), F.bround(F.lit(float(n)) * F.col("_size") / F.col("_total")).cast("bigint")))
+    q = sizes.crossJoin(F.broadcast(total)).select("_stratum", "_size", quota.alias("_quota"))  # one row
+    h = F.md5(F.concat(F.col("_key").cast("string"), F.lit(f"#{seed}")))
+    w = W.partitionBy("_stratum").orderBy("_h", "_key")
+    drawn = d.withColumn("_h", h).join(F.broadcast(q), "_stratum")  # a row per stratum
     # The quota lowest hashes lie below twice the share (and some) of the hash range but for chances beyond counting.
-    share = F.least(F.lit(1.0), (F.col("quota") * 2.0 + 40) / F.col("k"))
-    low = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 4294967296.0
-    return drawn.where(low <= share).withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("quota")).select(key, stratum)
+    share = F.least(F.lit(1.0), (F.col("_quota") * 2.0 + 40) / F.col("_size"))
+    low = F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / 4294967296.0
+    return drawn.where(low <= share).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_quota")).select(F.col("_key").alias(key), F.col("_stratum").alias(stratum))
 
 
 def fingerprint(df: DataFrame, *keys: str) -> DataFrame:
