@@ -91,3 +91,25 @@ def survivors(lines: DataFrame) -> DataFrame:
     # Forms of one document against those removed from it: both sides are bounded by a page's windows.
     r = removed.select("doc_id", F.col("forma").alias("whole"))
     return low.join(r, "doc_id").where("contains(whole, forma) AND whole <> forma").select("doc_id", "forma", "n_pages").distinct()
+
+
+def joined_pages(lines: DataFrame) -> DataFrame:
+    """(doc_id, page_no, grupo): pages that go on with the sentence of the page before belong to its group.
+
+    Only the first and the last line of each page are looked at.
+    """
+    w = W.partitionBy("doc_id").orderBy("page_no")
+    page = lines.groupBy("doc_id", "page_no").agg(F.min_by("line", "line_no").alias("first"), F.max_by("line", "line_no").alias("last"))
+    open_ = ~F.lag("last").over(w).rlike(r"[.!?…:;。！？।؟][\"'”»)\]]*$")
+    goes_on = F.coalesce(open_ & F.col("first").rlike(r"^\p{Ll}"), F.lit(False))
+    return page.withColumn("new", F.when(goes_on, 0).otherwise(1)).select("doc_id", "page_no", F.sum("new").over(w).cast("int").alias("grupo"))
+
+
+def isolated_lines(lines: DataFrame) -> DataFrame:
+    """(doc_id, page_no, line_no, line): short open lines that are no prose: numbered, labels, titles, capitals; what is before is closed and what follows begins anew."""
+    w = W.partitionBy("doc_id", "page_no").orderBy("line_no")
+    closed = r"[.!?…:;。！？।؟][\"'”»)\]]*$"
+    look = F.col("line").rlike(r"^\s*(?:[0-9]+(?:\.[0-9]+)*[.)]?\s|[IVXLC]+\.\s|[A-Za-z]\)\s)") | F.col("line").rlike(r"^[\p{L} ]{2,30}:\s*\S*$") | (F.upper("line") == F.col("line")) & F.col("line").rlike(r"\p{Lu}{2}") | F.col("line").rlike(r"^\p{Lu}[^.!?]*$")
+    rows = lines.withColumn("before", F.lag("line").over(w)).withColumn("after", F.lead("line").over(w))
+    alone = (F.col("before").isNull() | F.col("before").rlike(closed)) & (F.col("after").isNull() | ~F.col("after").rlike(r"^\p{Ll}"))
+    return rows.where((word_count(F.col("line")) <= C.DANGLING_WORDS) & ~F.col("line").rlike(closed) & look & alone).select("doc_id", "page_no", "line_no", "line")

@@ -124,11 +124,11 @@ def triplets(chunks: DataFrame, terms: list[str] | None = None) -> DataFrame:
     return map_rows(chunks.select("doc_id", "chunk_id", "texto").where("texto IS NOT NULL"), make, TRIPLET)
 
 
-def edges(triplets_: DataFrame, evidences: int = 20) -> DataFrame:
-    """One edge per ordered pair: first relation, all relations, first source, how many documents and triplets, and the first evidences.
+def edges(triplets_: DataFrame) -> DataFrame:
+    """One edge per ordered pair: first relation, all relations, first source, how many documents and triplets.
 
-    Counts are mergeable. Of the evidences of a popular edge only the first ones are shown; ``edge_sources`` has all
-    as rows, so no edge is ever gathered whole.
+    All of them are mergeable. ``edge_sources`` has the places and what they say as rows, so that no edge, however
+    popular, is ever gathered whole.
     """
     t = triplets_.where("trim(subject) <> '' AND trim(object) <> ''")
     key = F.struct("doc_id", "chunk_id", "orden", "relation")

@@ -147,3 +147,18 @@ def norm_check(vectors: DataFrame, tolerance: float = 1e-3) -> DataFrame:
     """One row (n, n_bad): vectors whose length is not 1."""
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     return vectors.agg(F.count("embedding").alias("n"), F.count_if(F.abs(norm - 1) > tolerance).alias("n_bad"))
+
+
+def encode(rows: DataFrame, key: str, text: str, model, size: int = 16) -> DataFrame:
+    """(key, embedding) by a model that is plugged in: ``model()`` runs once per task and returns a function from texts to unit vectors."""
+
+    def make():
+        predict = model()
+
+        def f(c):
+            return {"key": c["key"], "embedding": [[float(x) for x in v] for v in predict([t or "" for t in c["text"]])]}
+
+        return f
+
+    kind = dict(rows.dtypes)[key]
+    return map_rows(rows.select(F.col(key).alias("key"), F.col(text).alias("text")), make, f"key {kind}, embedding array<float>", rows=size).withColumnRenamed("key", key)

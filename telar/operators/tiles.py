@@ -57,3 +57,21 @@ def summary(features: DataFrame, most: int = SUMMARY_VALUES) -> DataFrame:
 def statistics(features: DataFrame) -> DataFrame:
     """(zoom, tiles, features, unicos): the repetition by zoom."""
     return features.groupBy("zoom").agg(F.count_distinct("fuente").alias("tiles"), F.count("*").alias("features"), F.count_distinct("fid").alias("unicos"))
+
+
+def manifest(features: DataFrame) -> DataFrame:
+    """(serie, tiles, capas, zoom_min, zoom_max, features): one row per tile series, the folder above ``tiles``."""
+    serie = F.regexp_extract("fuente", r"^(.*?)/tiles/", 1)
+    return features.groupBy(serie.alias("serie")).agg(F.count_distinct("fuente").alias("tiles"), F.count_distinct("capa").alias("capas"), F.min("zoom").alias("zoom_min"), F.max("zoom").alias("zoom_max"), F.count("*").alias("features"))
+
+
+#: Attributes in the order in which a feature is described; popups come first, each text once.
+POPUPS = ("popup_es", "popup_pt", "popup_en")
+
+
+def described(features: DataFrame, attributes: tuple[str, ...] = ("name", "class", "area")) -> DataFrame:
+    """(fuente, fid, linea): a feature as one line, its popups or else its attributes in a fixed order."""
+    value = lambda k: F.nullif(F.trim(F.coalesce(F.try_element_at("props", F.lit(k)), F.lit(""))), F.lit(""))
+    popups = F.array_distinct(F.array_compact(F.array(*[value(k) for k in POPUPS])))
+    plain = F.concat_ws(" | ", *[F.when(value(k).isNotNull(), F.concat(F.lit(f"{k}: "), value(k))) for k in attributes])
+    return features.select("fuente", "fid", F.when(F.size(popups) > 0, F.concat(F.lit("popup: "), F.array_join(popups, "; "))).otherwise(plain).alias("linea")).where("linea <> ''")

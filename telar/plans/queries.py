@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from telar import config as C
 from telar.functions import paths, text
-from telar.operators import boilerplate, chunking, graph, ingest, keys, quality, retrieval, tiles
+from telar.operators import boilerplate, chunking, graph, ingest, keys, labels, quality, retrieval, tiles
 from telar.session import store
 from telar.session import table as _t
 
@@ -284,6 +284,38 @@ def surviving_headers(spark, sf):
     return boilerplate.survivors(boilerplate.pages(_t(spark, sf, "documents")))
 
 
+def joined_pages(spark, sf):
+    return boilerplate.joined_pages(boilerplate.pages(_t(spark, sf, "documents")))
+
+
+def isolated_lines(spark, sf):
+    return boilerplate.isolated_lines(boilerplate.pages(_t(spark, sf, "documents")))
+
+
+def language_rules(spark, sf):
+    return labels.labelled(_t(spark, sf, "documents"))
+
+
+@query(
+    r"""SELECT regexp_extract(fuente, '^(.*?)/tiles/', 1) AS serie, count(DISTINCT fuente) AS tiles, count(DISTINCT capa) AS capas, min(zoom)::INT AS zoom_min, max(zoom)::INT AS zoom_max, count(*) AS features FROM tile_features GROUP BY 1"""
+)
+def tile_manifest(spark, sf):
+    return tiles.manifest(_t(spark, sf, "tile_features"))
+
+
+_ATTR = "nullif(trim(coalesce(props['{0}'], ''), ' '), '')"
+_POPUPS = "list_filter([" + ", ".join(_ATTR.format(k) for k in ("popup_es", "popup_pt", "popup_en")) + "], lambda x: x IS NOT NULL)"
+_PLAIN = "concat_ws(' | ', " + ", ".join(f"'{k}: ' || " + _ATTR.format(k) for k in ("name", "class", "area")) + ")"
+
+
+@query(
+    f"""SELECT linea, count(*) AS n FROM (SELECT CASE WHEN len(p) > 0 THEN 'popup: ' || array_to_string(list_filter(p, lambda x, i: list_position(p, x) = i), '; ') ELSE plain END AS linea
+    FROM (SELECT {_POPUPS} AS p, {_PLAIN} AS plain FROM tile_features)) WHERE linea <> '' GROUP BY 1"""
+)
+def feature_lines(spark, sf):
+    return tiles.described(_t(spark, sf, "tile_features")).groupBy("linea").agg(F.count("*").alias("n"))
+
+
 # --- chunks ------------------------------------------------------------------------------------------------------
 
 
@@ -531,7 +563,7 @@ def hourly_events(spark, sf):
     return hourly(_t(spark, sf, "events"))
 
 
-for _f in (footers_trimmed, repeated_page_lines, boilerplate_clean, surviving_headers, chunks_packed, residual_class, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, retrieval_fragments, retrieval_documents, result_check):
+for _f in (joined_pages, isolated_lines, language_rules, footers_trimmed, repeated_page_lines, boilerplate_clean, surviving_headers, chunks_packed, residual_class, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, retrieval_fragments, retrieval_documents, result_check):
     Q[_f.__name__] = _f
 
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from telar.operators import boilerplate, chunking, graph, ingest, quality, retrieval, tiles
+from telar.operators import boilerplate, chunking, graph, ingest, labels, quality, retrieval, tiles
 
 
 def rows(df, *order):
@@ -189,3 +189,26 @@ def test_votes_and_integrity(spark):
     assert [(x.doc_id, x.lang) for x in quality.vote(d).orderBy("doc_id").collect()] == [("a", "en"), ("b", "pt")]
     lines = spark.createDataFrame([('{"a": 1}',), ("",), ("{no",), ('{"b": "x\u2028y"}',)], "value string")
     assert rows(quality.integrity(lines, ["a"])) == [(4, 1, 1, 1, 1)]
+
+
+def test_label_rules():
+    es = "La oficina revisó los datos del plan según el acta, pero no hubo más casos entre los vecinos. "
+    en = "The office reviewed the data of the plan, and according to the minutes there were no more cases for them. "
+    assert labels.label(es * 3, "pdf")[0] == "es" and labels.label(es * 3, "csv")[0] == "und"
+    assert labels.label("corto", "pdf")[0] == "und" and labels.label(None, None)[0] == "und" and labels.label("1 2 3 4 5 6 7 8 9 10 11 12 13", "txt")[0] == "und"
+    lang, share, mixed = labels.label("\n\n".join([es * 12, en * 9]), "pdf")
+    assert lang == "es" and mixed and 0.5 < share < 0.85
+    assert labels.label("委员会公布了年度报告，办公室审查了各站的数据，没有人知道为什么。", "pdf")[0] == "zh"
+
+
+def test_page_joins_and_isolated_lines(spark):
+    d = spark.createDataFrame([(1, "Una frase que\n\nsigue aquí.\n\nOtra página."), (2, "Texto cerrado.\n1. Alcance\nOtra frase larga que sigue."), (3, None)], "doc_id int, text string")
+    lines = boilerplate.pages(d)
+    assert [(r.doc_id, r.grupo) for r in boilerplate.joined_pages(lines).orderBy("doc_id", "page_no").collect()] == [(1, 1), (1, 1), (1, 2), (2, 1)]
+    assert [r.line for r in boilerplate.isolated_lines(lines).where("doc_id = 2").collect()] == ["1. Alcance"]
+
+
+def test_encoder_plugin(spark):
+    d = spark.createDataFrame([(1, "ab"), (2, None)], "id int, t string")
+    got = {r.id: r.embedding for r in retrieval.encode(d, "id", "t", lambda: lambda ts: [[float(len(t)), 1.0] for t in ts]).collect()}
+    assert got == {1: [2.0, 1.0], 2: [0.0, 1.0]}
