@@ -44,3 +44,12 @@ def tile_place(path: Column) -> Column:
 
 def institution(path: Column) -> Column:
     return F.array_join(F.slice(F.split(posix(path), "/"), 1, 2), "/")
+
+
+def is_catalogue_file(path: Column, names: tuple[str, ...], tile_index: str = "index") -> Column:
+    """Whether a file is a catalogue by a piece of its name; the index of a tile series is none."""
+    name = F.lower(F.element_at(F.split(posix(path), "/"), -1))
+    hit = F.lit(False)
+    for n in names:
+        hit = hit | F.contains(name, F.lit(n.lower()))
+    return hit & ~(is_tile(path) | F.contains(name, F.lit(tile_index)) & posix(path).rlike(r"(^|/)tiles/"))

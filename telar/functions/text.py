@@ -175,3 +175,9 @@ def tokens_estimate(n_words: Column) -> Column:
     from telar.config import TOKENS_PER_WORD
 
     return F.bround(n_words * TOKENS_PER_WORD).cast("int")
+
+
+def alert_title(code: Column, places: Column) -> Column:
+    """The title of an alert that has none: its code and its places, whatever of them there is."""
+    c, p = F.nullif(F.trim(code), F.lit("")), F.nullif(F.trim(places), F.lit(""))
+    return F.when(c.isNotNull() | p.isNotNull(), F.concat_ws(" ", F.lit("Alerta"), F.concat_ws(" — ", c, p)))

@@ -93,3 +93,11 @@ def test_paths(spark):
     assert tuple(one(spark, "a/tiles/5/10/x_8.pbf", paths.tile_place)) == (5, 10, 8)
     assert one(spark, "a/b/c/d.pdf", paths.institution) == "a/b"
     assert [one(spark, v, lambda c: paths.topic_code(c, F.lit("3_x/a.pdf"))) for v in ("F2", "2", "Fen\u00f3meno 1", None, "x")] == [2, 2, 1, 3, 3]
+
+
+def test_catalogue_files_and_alerts(spark):
+    f = lambda c: paths.is_catalogue_file(c, ("catalogo", "registro"))
+    assert [one(spark, p, f) for p in ("a/Catalogo_1.json", "a/nota.json", "a/tiles/1/2/registro_3.pbf")] == [True, False, False]
+    assert one(spark, "A-1", lambda c: text.alert_title(c, F.lit("Norte"))) == "Alerta A-1 — Norte"
+    assert one(spark, " ", lambda c: text.alert_title(c, F.lit("Norte"))) == "Alerta Norte"
+    assert one(spark, None, lambda c: text.alert_title(c, F.lit(None).cast("string"))) is None
