@@ -178,8 +178,10 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
         for k, i, w in windows:
             table.setdefault(k, []).append((i, w))
     wanted = np.sort(np.asarray(list(table), np.int64))
+    shared = spark.sparkContext.broadcast((vocabulary, names, table, wanted))  # at most ``carried`` windows
 
     def make():
+        vocabulary, names, table, wanted = shared.value
         templates = Templates(vocabulary, names)
 
         def f(c):

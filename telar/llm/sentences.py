@@ -439,8 +439,11 @@ def sentences(texts: DataFrame, corpus: Lexicon, key: str = "doc_id", text: str
     Null, empty and blank texts have none. Repeated rows give repeated sentences. Texts are read whole.
     """
     src = texts.select(F.col(key).cast(kind).alias("key"), F.col(text).alias("text"))
+    shared = texts.sparkSession.sparkContext.broadcast(corpus)  # bounded by SHARE
 
     def make():
+        corpus = shared.value
+
         def f(c):
             out: dict[str, list] = {"key": [], "n": [], "fin": [], "oracion": []}
             for k, t in zip(c["key"], c["text"]):
