@@ -281,6 +281,7 @@ def test_mojibake(spark):
     fine = [(50, "A REGIÃO DE ÂNGULO NÃO TERÁ INSTALAÇÃO; A IRMÃ “ÃNDEL” VIRÁ"), (51, "x²+y²≤4·π"), (52, "$¬°{}~·" * 9), (53, None), (54, ""), (None, bad[1])]
     d = docs(spark, rows + list(bad.items()) + fine)
     assert {r.doc_id for r in mojibake.found(d).collect()} == set(bad)
+    assert {r.doc_id for r in mojibake.found(d, carried=0).collect()} == set(bad)
     back = {r.doc_id: r.texto for r in mojibake.restored(d).collect()}
     assert back[1] == back[2] == back[3] == back[4] == clean and back[5].lower() == ru.lower()
     assert mojibake.found(docs(spark, [])).count() == 0
