@@ -35,8 +35,9 @@ def normalise(text: Column) -> Column:
 
 def fingerprint(text: Column, size: int = 12) -> Column:
     """The first ``size`` hex digits of the SHA-1 of the normalised text; null for text without content."""
-    n = normalise(text)
-    return F.when(n != "", F.left(F.sha1(n), F.lit(size)))
+    # The lambda's variable holds the normalised text, which is then computed once.
+    one = F.transform(F.array(normalise(text)), lambda n: F.when(n != "", F.left(F.sha1(n), F.lit(size))))
+    return F.element_at(one, 1)
 
 
 def words(text: Column) -> Column:
