@@ -30,8 +30,12 @@ ODDS = 3
 #: A character counts as known in the corpus from so many documents on, and this share of all. There are at most as many as Unicode has.
 KNOWN_DOCUMENTS = 3
 KNOWN_SHARE = 2e-4
-#: Garbled words are carried to the tasks while there are at most so many; beyond that all words of the documents meet them by a shuffled join.
+#: Garbled words are carried to the tasks while there are at most so many, a long one counting as one for each LONG characters begun; beyond that all words of the documents meet them by a shuffled join.
 CARRIED_WORDS = 200_000
+LONG = 40
+#: Counts are handed on at so many words, or so many characters of the texts they are from.
+HELD_WORDS = 100_000
+HELD_CHARS = 20_000_000
 
 _WRITTEN = ("utf-8", "cp1252", "cp1250", "cp1251", "koi8-r", "mac_roman", "cp437", "cp850", "cp866", "cp1253", "cp1256", "cp874", "gb18030", "big5", "shift_jis", "euc_jp", "euc_kr")
 _READ = ("cp1252", "latin-1", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8-r", "cp1254", "cp1253")
@@ -153,8 +157,14 @@ def changed(word: str, back: str) -> int:
 
 
 def words_of(text: str) -> list[str]:
-    """Words with a character beyond ASCII, without ASCII punctuation at their edges."""
-    return [w for w in (x.strip(_ASCII_EDGE) for x in _SPLIT.split(text) if not x.isascii()) if w and not w.isascii()]
+    """Words with a character beyond ASCII, of any length, without ASCII punctuation at their edges.
+
+    Characters of scripts without blanks part words as blanks do: a garbled line may stand right beside them.
+    """
+    found = [x for x in _SPLIT.split(text) if not x.isascii()]
+    if _WIDE.search(text):
+        found = [p for x in found for p in (_WIDE.split(x) if _WIDE.search(x) else (x,)) if not p.isascii()]
+    return [w for w in (x.strip(_ASCII_EDGE) for x in found) if w and not w.isascii()]
 
 
 def _word_counts(src: DataFrame) -> DataFrame:
@@ -162,23 +172,27 @@ def _word_counts(src: DataFrame) -> DataFrame:
 
     def make():
         seen: Counter[str] = Counter()
+        held = 0
 
         def flush():
+            nonlocal held
             out = {"word": list(seen), "n": list(seen.values())}
             seen.clear()
+            held = 0
             return out
 
         def f(c):
+            nonlocal held
             for t in c["text"]:
                 if t and not t.isascii():
                     mine = {c for c in set(t) if c > "\x7f"}
                     mine.add("")
                     for w in set(words_of(t)):
-                        if len(w) <= 400 and not _WIDE.search(w):
-                            mine.add(w)
-                            mine.add(w.lower())
+                        mine.add(w)
+                        mine.add(w.lower())
                     seen.update(mine)
-            return flush() if len(seen) > 100_000 else None
+                    held += len(t)
+            return flush() if len(seen) > HELD_WORDS or held > HELD_CHARS else None
 
         f.rest = flush
         return f
@@ -234,7 +248,8 @@ def restorations(counts: DataFrame, learned: DataFrame) -> DataFrame:
             for w, n in zip(c["word"], c["n"]):
                 back = undo_parts(w, known) if _PAIR.search(w) else None
                 if back is not None:
-                    if script(back) != "mixed":
+                    # Text without blanks holds Latin letters, as in numbers of versions; they are no part of the garbled runs.
+                    if script(back) != "mixed" or script("".join(_HIGH.findall(back))) == "CJK":
                         put(w, n, back, True, "utf-8")
                     continue
                 for written, read in tried:
@@ -265,7 +280,7 @@ def restorations(counts: DataFrame, learned: DataFrame) -> DataFrame:
 
 def _document_words(src: DataFrame, fixes: DataFrame, carried: int) -> DataFrame:
     """(doc_id, word, n) of each document, of garbled words alone where these can be carried, and its number of lost characters under the word ''."""
-    few = fixes.count() <= carried
+    few = (fixes.agg(F.sum(F.ceil(F.length("word") / LONG))).first()[0] or 0) <= carried
     shared = src.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in fixes.select("word").toLocalIterator()) if few else None)
 
     def make():
@@ -276,7 +291,7 @@ def _document_words(src: DataFrame, fixes: DataFrame, carried: int) -> DataFrame
             for d, t in zip(c["doc_id"], c["text"]):
                 if not t or t.isascii():
                     continue
-                seen = Counter([w for w in words_of(t) if w in wanted] if wanted is not None else [w for w in words_of(t) if not _WIDE.search(w)])
+                seen = Counter([w for w in words_of(t) if w in wanted] if wanted is not None else words_of(t))
                 lost = len(re.findall(f"(?<=[^\\W_]){_LOST}|{_LOST}(?=[^\\W_])", t)) if _LOST in t else 0
                 if lost:
                     seen[""] = lost

@@ -287,6 +287,22 @@ def test_mojibake(spark):
     assert mojibake.found(docs(spark, [])).count() == 0
 
 
+def test_mojibake_of_any_length(spark):
+    zh = "低成本技术圆桌会依靠自有资金否决了轨道交通模拟器，而高原大学协调了供应商v2.1审计报告。" * 6
+    ja = "うち、信号研究室は公表した。また、監視委員会は当面のあいだ予備の事故を延期した。" * 6
+    wrong = lambda t, a, b: t.encode(a).decode(b)
+    one = wrong(zh, "utf-8", "latin-1")
+    assert len(one) > 400 and len(mojibake.words_of(one)) == 1
+    bad = {1: one, 2: wrong(ja, "utf-8", "latin-1"), 3: "报告" + wrong(zh[:9], "utf-8", "latin-1") + "报告"}
+    clean = "La comisión revisó la región según el acta y amplió la capacitación técnica del año según la dirección. "
+    rows = [(i, zh) for i in range(100, 120)] + [(i, ja) for i in range(120, 140)] + [(i, clean) for i in range(140, 160)] + [(4, wrong(clean, "utf-8", "latin-1"))]
+    d = docs(spark, rows + list(bad.items()))
+    for carried in (mojibake.CARRIED_WORDS, 0):
+        assert {r.doc_id for r in mojibake.found(d, carried=carried).collect()} == {1, 2, 3, 4}
+    back = {r.doc_id: r.texto for r in mojibake.restored(d).collect()}
+    assert back[1] == zh and back[2] == ja and back[3] == "报告" + zh[:9] + "报告" and back[4] == clean
+
+
 def test_undo_is_exact():
     for a in ("utf-8", "cp1251", "koi8-r"):
         for b in ("latin-1", "mac_roman", "cp437"):
