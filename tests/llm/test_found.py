@@ -135,6 +135,21 @@ def test_quality(spark):
     assert quality.found(d.limit(0)).count() == 0
 
 
+def test_common_words_are_those_of_all_chunks(spark):
+    texts = [prose(i) for i in range(40)] + [f"uno{i // 2} solo{i}" for i in range(40)]
+    rows = [(f"c{i}", t) for i, t in enumerate(texts)] + [("c0", texts[0]), ("vacío", None)]
+    d = spark.createDataFrame(rows, "chunk_id string, texto string")
+    seen = {}
+    for t in texts:
+        for w in set(quality.TOKEN.findall(t.lower())):
+            seen[w] = seen.get(w, 0) + 1
+    want = frozenset(w for w, k in seen.items() if k > 1)
+    got = {r.chunk_id: r.comunes for r in quality.chunk_quality(d, sample=5).collect()}
+    at = quality.STATS.index("comunes")
+    assert got == {f"c{i}": pytest.approx(quality.statistics(t, want)[at]) for i, t in enumerate(texts)} | {"vacío": 0.0}
+    assert quality.common_words(d) == want
+
+
 # --- 4 sentences
 
 LEX = sentences.Lexicon(frozenset("el la los de en y que nada según the no a an of".split()), frozenset({"Dr", "Sra", "pág", "núm", "art"}))
