@@ -150,6 +150,12 @@ def test_common_words_are_those_of_all_chunks(spark):
     assert quality.common_words(d) == want
 
 
+@pytest.mark.parametrize("times", [10, 200])
+def test_repeated_junk_counts_at_every_size(times):
+    at = quality.STATS.index("sin_vocal")
+    assert quality.statistics("xkcdq palabra brtzn " * times, frozenset())[at] == pytest.approx(10 / 17)
+
+
 # --- 4 sentences
 
 LEX = sentences.Lexicon(frozenset("el la los de en y que nada según the no a an of".split()), frozenset({"Dr", "Sra", "pág", "núm", "art"}))
