@@ -52,7 +52,7 @@ _SKELETON = str.maketrans({"0": "o", "1": "i", "|": "i", "l": "i", "5": "s", "9"
 def skeleton(line: str) -> str:
     """A line as it stays under misreading: letters that scanners take for each other are one, numbers are gone."""
     words = " ".join([w for w in _WORD.findall(line.lower()) if not w.isdigit()])
-    return words.replace("rn", "m").replace("ri", "n").translate(_SKELETON)
+    return words.replace("rn", "m").replace("ri", "n").replace("cl", "d").translate(_SKELETON)
 
 
 def breaks(text: str) -> list[tuple[int, int, str, str, str]]:
@@ -161,13 +161,11 @@ def furniture(lines: list[str], forest: trees.Forest) -> tuple[list[int], dict[s
     numbers = _number_lines(lines)
     skip = set(numbers)
     places: dict[str, list[int]] = defaultdict(list)
-    # Lines that come back agree in length but for a damaged letter or number: those whose length is shared by too few can't.
-    sizes = Counter(len(x) for x in lines)
     for i, x in enumerate(lines):
-        n = len(x)
-        if i not in skip and 5 < n < 120 and sizes[n - 2] + sizes[n - 1] + sizes[n] + sizes[n + 1] + sizes[n + 2] >= 3:
+        # A word of a script without blanks has few characters.
+        if i not in skip and (len(x) > 5 or len(x) > 2 and _WIDE.search(x)):
             s = skeleton(x)
-            if len(s) > 4:
+            if len(s) > 4 or len(s) > 2 and _WIDE.search(s):
                 places[s].append(i)
     rows, keys = [], []
     width = max(map(len, lines))

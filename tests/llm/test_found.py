@@ -222,6 +222,15 @@ def test_scans(spark):
     assert scans.found(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("heads", [("9 Informe modal de cuentas rev", "10 Informe rnodal de cuentas rev", "100 Informe rnoclal de cuentas rev"), ("年度报告",) * 3, ("Informe anual de la oficina de datos " * 4,) * 3])
+def test_headers_of_any_length(heads):
+    lines = []
+    for k, x in enumerate(heads):
+        lines += [x, *[f"{w} y además sigue la frase {'muy ' * (7 * k + j)}larga que" for j, w in enumerate(prose(k).split()[:9])]]
+    _, got = scans.furniture([x.strip() for x in lines], scans.fit_furniture())
+    assert [0, 10, 20] in got.values()
+
+
 def test_corrections_prefer_confusions():
     assert scans.misreading_cost("c0mité", "comité")[0] < scans.misreading_cost("cxmité", "comité")[0]
     assert scans.misreading_cost("inforrne", "informe") == (0.25, 1)
