@@ -22,6 +22,7 @@ _AS_LATIN = "ABESIJKMHOPCTYXaeopcyxsijhdqwëËïÏ"
 _GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονόϳ"
 _AS_LATIN2 = "ABEZHIKMNOPTYXovój"
 _HYPHENS = "‐‑﹣"
+LOOKS = str.maketrans(_CYRILLIC + _GREEK, _AS_LATIN + _AS_LATIN2)
 
 
 def _compatible() -> tuple[str, str]:

@@ -9,30 +9,34 @@ other scripts included; a restored word counts if the corpus knows it, or if the
 from __future__ import annotations
 
 import codecs
+import math
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Container
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from telar.functions.batches import map_rows
+from telar.llm.lookalike import LOOKS
 from telar.session import store
 
 #: A document is a case from so many garbled characters on.
 CASE_CHARS = 3
-#: A transformation is learned from so many distinct near-twins.
+#: A transformation is learned from so many distinct near-twins that no better supported one explains, and from this share of all, as chance gives more of them the more words there are.
 SUPPORT = 3
+CHANCE = 1e-3
 #: How much more frequent a word must be than the spelling that is taken for its garbled form.
 ODDS = 3
 #: A character counts as known in the corpus from so many documents on, and this share of all. There are at most as many as Unicode has.
 KNOWN_DOCUMENTS = 3
 KNOWN_SHARE = 2e-4
-#: Garbled words are carried to the tasks while there are at most so many, a long one counting as one for each LONG characters begun; beyond that all words of the documents meet them by a shuffled join.
-CARRIED_WORDS = 200_000
-LONG = 40
+#: Bits of the filter that tells which words of the documents may be garbled ones: 4 MB, whatever the corpus. The join behind it is exact.
+FILTER_BITS = 1 << 25
+#: Words whose answer of the filter a task remembers.
+REMEMBERED = 200_000
 #: Counts are handed on at so many words, or so many characters of the texts they are from.
 HELD_WORDS = 100_000
 HELD_CHARS = 20_000_000
@@ -45,6 +49,7 @@ _ASCII_EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _WIDE = re.compile("[฀-໿぀-ヿ㐀-鿿가-힯豈-﫿＀-￯]")
 _HIGH = re.compile(r"[^\x00-\x7f]+")
 _PAIR = re.compile(r"[^\x00-\x7f]{2}")
+_C1 = re.compile("[\x80-\x9f]")
 _LOST = "�"
 
 
@@ -78,16 +83,15 @@ def undo(word: str, written: str, read: str) -> str | None:
 
 def undo_utf8(word: str) -> str | None:
     """The word with all its layers of UTF-8 read as something else taken off; None if there is none."""
-    best, layers = word, 0
-    while layers < 4:
-        for read in _READ:
-            back = undo(best, "utf-8", read)
-            if back is not None and sane(back):
-                best, layers = back, layers + 1
-                break
-        else:
-            break
-    return best if layers else None
+    best = None
+    while True:  # each layer makes the word shorter
+        backs = [b for b in (undo(word, "utf-8", read) for read in _READ) if b is not None]
+        good = next((b for b in backs if sane(b)), None)
+        best = good or best
+        # Between two layers there may be bytes that stand for themselves.
+        word = good or next((b for b in backs if sane(_C1.sub("", b))), None)
+        if word is None:
+            return best
 
 
 def undo_parts(word: str, known: Container[str]) -> str | None:
@@ -126,6 +130,11 @@ def _letters(text: str) -> bool:
     return all([c <= "\x7f" or _kind(c)[0] in "LM" for c in text])
 
 
+def _cased(word: str) -> bool:
+    """Whether capitals stand where words have them: none behind the first letter, or all are."""
+    return word[1:] == word[1:].lower() or word == word.upper()
+
+
 def script(text: str) -> str | None:
     """The alphabet of the letters, by the first word of their Unicode names; 'mixed' if there are several."""
     found = set()
@@ -187,9 +196,7 @@ def _word_counts(src: DataFrame) -> DataFrame:
                 if t and not t.isascii():
                     mine = {c for c in set(t) if c > "\x7f"}
                     mine.add("")
-                    for w in set(words_of(t)):
-                        mine.add(w)
-                        mine.add(w.lower())
+                    mine.update(words_of(t))
                     seen.update(mine)
                     held += len(t)
             return flush() if len(seen) > HELD_WORDS or held > HELD_CHARS else None
@@ -200,44 +207,76 @@ def _word_counts(src: DataFrame) -> DataFrame:
     return map_rows(src.select("text"), make, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def looks_latin(word: str) -> bool:
+    """Whether a word of several alphabets is a Latin one with letters that only look Latin: no case of wrong decoding."""
+    return script(word) == "mixed" and script(word.translate(LOOKS)) == "LATIN"
+
+
 def learn(counts: DataFrame) -> DataFrame:
-    """(escrito, leido, apoyo): the encodings that near-twins show to have been read as others, and how many show it."""
-    keyed = counts.where(F.length("word").between(4, 40)).withColumn("key", F.regexp_replace("word", r"[^\x00-\x7f]+", "")).where(F.length("key") >= 3)
+    """(escrito, leido, apoyo): the encodings that near-twins show to have been read as others, and how many show it.
+
+    A near-twin that several pairs of encodings explain speaks for the one that explains most, so that pairs which share
+    some of their characters with it, or meet it by chance, are not learned beside it.
+    """
+    keyed = counts.where(F.length("word") >= 4).withColumn("key", F.regexp_replace("word", r"[^\x00-\x7f]+", "")).where(F.length("key") >= 3)
     # Of the spellings of one skeleton, each against the most frequent one: no pairs within the group.
     top = keyed.groupBy("key").agg(F.max_by("word", F.struct("n", "word")).alias("clean"), F.max("n").alias("most"), F.count("*").alias("k")).where("k > 1")
     twins = keyed.join(top, "key").where(F.col("n") * ODDS <= F.col("most")).select("key", "word", "clean")
 
     def make():
         def f(c):
-            out: dict[str, list] = {"escrito": [], "leido": [], "key": []}
+            out: dict[str, list] = {"escrito": [], "leido": [], "key": [], "word": []}
             for k, g, w in zip(c["key"], c["word"], c["clean"]):
                 pairs = aligned(g, w)
-                if not pairs or script(w) == "mixed":
+                if not pairs or script(w) == "mixed" or looks_latin(g):
                     continue
-                for written in _WRITTEN:
-                    for read in _READ:
-                        if all(undo(x, written, read) == y for x, y in pairs):
-                            for n, v in (("escrito", written), ("leido", read), ("key", k)):
-                                out[n].append(v)
+                ways = [(a, b) for a in _WRITTEN for b in _READ if all(undo(x, a, b) == y for x, y in pairs)]
+                for a, b in [("", ""), *ways]:  # '' for each that was tried
+                    for n, v in zip(out, (a, b, k, g)):
+                        out[n].append(v)
             return out
 
         return f
 
-    return map_rows(twins, make, "escrito string, leido string, key string").groupBy("escrito", "leido").agg(F.count_distinct("key").alias("apoyo")).where(F.col("apoyo") >= SUPPORT)
+    shown = store(map_rows(twins, make, "escrito string, leido string, key string, word string"), "twins")
+    tried = shown.where("escrito = ''").select(F.count_distinct("key")).first()[0]
+    shown = shown.where("escrito <> ''")
+    weight = F.broadcast(shown.groupBy("escrito", "leido").agg(F.count_distinct("key").alias("all")))  # as many rows as pairs of encodings
+    best = shown.join(weight, ["escrito", "leido"]).groupBy("key", "word").agg(F.max_by(F.struct("escrito", "leido"), F.struct("all", "escrito", "leido")).alias("way"))
+    return best.groupBy("way.escrito", "way.leido").agg(F.count_distinct("key").alias("apoyo")).where(F.col("apoyo") >= max(SUPPORT, CHANCE * tried))
+
+
+def _pair_counts(counts: DataFrame, least: float) -> dict[str, int]:
+    """How often two characters stand side by side in words, one of them beyond ASCII: those that do so ``least`` times. A document has a bounded number of pairs, so at most that number over the share can."""
+    low = F.lower("word")
+    pairs = counts.where(F.length("word") > 1).select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(low, i, F.lit(2)))).alias("pair"))
+    often = pairs.where(F.col("pair").rlike(r"[^\x00-\x7f]")).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return {r[0]: r[1] for r in often.toLocalIterator()}
+
+
+def _usual(counts: list[int | None], floor: float) -> float:
+    """The mean logarithm of counts; those that are too rare to be known count half of what it takes."""
+    return sum(math.log(n or floor / 2) for n in counts) / len(counts) if counts else 0.0
 
 
 def restorations(counts: DataFrame, learned: DataFrame) -> DataFrame:
-    """(word, restaurado, k): garbled words of the corpus, what they were, and how many of their characters were garbled."""
+    """(word, restaurado, k, way): garbled words of the corpus, what they were, and how many of their characters were garbled."""
     spark = counts.sparkSession
     documents = counts.where("word = ''").agg(F.sum("n")).first()[0] or 0
-    often = F.col("n") >= max(KNOWN_DOCUMENTS, KNOWN_SHARE * documents)
-    known = {r[0] for r in counts.where((F.length("word") == 1) & often).select("word").toLocalIterator()}  # single characters: no more than Unicode has
-    pairs = [(r[0], r[1]) for r in learned.select("escrito", "leido").collect()]  # one per pair of encodings at most
+    least = max(KNOWN_DOCUMENTS, KNOWN_SHARE * documents)
+    known_chars = {r[0]: r[1] for r in counts.where((F.length("word") == 1) & (F.col("n") >= least)).select("word", "n").toLocalIterator()}  # single characters: no more than Unicode has
+    shared = spark.sparkContext.broadcast((known_chars, _pair_counts(counts, least)))
     # An encoding that was misread once may have been misread by any reader that was seen, and any script by such a reader.
-    readers = sorted({b for _, b in pairs})
+    readers = sorted({r[0] for r in learned.select("leido").collect()})  # one per encoding at most
     tried = sorted({(a, b) for a in _WRITTEN for b in (readers or ["cp1252", "latin-1"]) if a != b and (a, b) != ("utf-8", b)})
 
     def make():
+        known, pairs = shared.value
+
+        def pairs_of(w: str) -> float:
+            low = w.lower()
+            return _usual([pairs.get(low[i : i + 2]) for i in range(len(low) - 1) if not low[i : i + 2].isascii()], least)
+
         def f(c):
             out: dict[str, list] = {"word": [], "n": [], "restaurado": [], "k": [], "certain": [], "way": []}
 
@@ -252,46 +291,78 @@ def restorations(counts: DataFrame, learned: DataFrame) -> DataFrame:
                     if script(back) != "mixed" or script("".join(_HIGH.findall(back))) == "CJK":
                         put(w, n, back, True, "utf-8")
                     continue
+                if looks_latin(w):
+                    continue
+                usual = None
                 for written, read in tried:
                     back = undo(w, written, read)
                     if back is None:
                         continue
                     if written in _MULTIBYTE:
                         wide = _WIDE.findall(back)
-                        # All characters of the decoded text are characters of the corpus: by chance one in hundreds is.
+                        # All characters of the decoded text are characters of the corpus, and far more usual there than what stands in the word: a word of letters that are often neighbours is one.
                         if len(wide) >= 3 and sane(back) and script(back) == "CJK" and sum(x in known for x in wide) >= 0.9 * len(wide):
-                            put(w, n, back, True, f"{written}>{read}")
-                    elif len(w) >= 3 and _letters(back) and script(back) not in (None, "mixed"):
-                        put(w, n, back, False, f"{written}>{read}")
+                            usual = pairs_of(w) if usual is None else usual
+                            if _usual([known.get(x) for x in wide], least) >= usual + math.log(ODDS):
+                                put(w, n, back, True, f"{written}>{read}")
+                    elif len(w) >= 3 and _letters(back) and _cased(back) and script(back) not in (None, "mixed"):
+                        usual = pairs_of(w) if usual is None else usual
+                        if pairs_of(back) >= usual:
+                            put(w, n, back, False, f"{written}>{read}")
             return out
 
         return f
 
     tried_words = store(map_rows(counts.where(F.length("word") > 1).repartition(spark.sparkContext.defaultParallelism), make, "word string, n bigint, restaurado string, k int, certain boolean, way string"), "restored")
     certain = tried_words.where("certain AND k > 0").select("word", "n", "restaurado", "k", "way")
-    # Of single-byte encodings only words the corpus knows count, and only ways that lead to several of them.
-    maybe = tried_words.where("NOT certain AND k > 0").join(counts.select(F.col("word").alias("restaurado"), F.col("n").alias("m")), "restaurado").where(F.col("m") >= F.col("n") * ODDS)
-    ways = maybe.groupBy("way").agg(F.count_distinct("restaurado").alias("apoyo")).where(F.col("apoyo") >= SUPPORT).select("way")
-    sure = maybe.join(F.broadcast(ways), "way").select("word", "n", "restaurado", "k", "way", "m")  # as many ways as pairs of encodings
+    # Of single-byte encodings only words the corpus knows count, in whatever case, and only ways that lead to several of them.
+    vocabulary = counts.where(F.length("word") > 1).groupBy(F.lower("word").alias("low")).agg(F.sum("n").alias("m"))
+    maybe = tried_words.where("NOT certain AND k > 0").withColumn("low", F.lower("restaurado"))
+    met = store(maybe.join(vocabulary, "low").where(F.col("m") >= F.col("n") * ODDS), "met")
+    # What is a garbled word itself is no word to restore another to.
+    met = met.join(tried_words.where("certain").select(F.lower("word").alias("low")).unionByName(met.select(F.lower("word").alias("low"))).distinct(), "low", "left_anti")
+    ways = met.groupBy("way").agg(F.count_distinct("low").alias("apoyo")).join(F.broadcast(maybe.groupBy("way").agg(F.count_distinct("word").alias("tried"))), "way")
+    ways = ways.where(F.col("apoyo") >= F.greatest(F.lit(SUPPORT), CHANCE * F.col("tried"))).select("way")
+    sure = met.join(F.broadcast(ways), "way").select("word", "n", "restaurado", "k", "way", "m")  # as many ways as pairs of encodings
     every = certain.withColumn("m", F.lit(1 << 40)).unionByName(sure)
-    first = W.partitionBy("word").orderBy(F.desc("m"), "k", "restaurado")
-    return every.withColumn("r", F.row_number().over(first)).where("r = 1").select("word", "restaurado", "k", "way")
+    return every.groupBy("word").agg(F.max_by(F.struct("restaurado", "k", "way"), F.struct("m", -F.col("k"), "restaurado", "way")).alias("best")).select("word", "best.restaurado", "best.k", "best.way")
+
+
+def _filter(fixes: DataFrame) -> bytes:
+    """One bit for the hash of each word, of FILTER_BITS."""
+    bit = F.pmod(F.xxhash64("word"), F.lit(FILTER_BITS))
+    place = bit + 1  # Spark counts bits from 1
+    parts = fixes.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = bytearray(FILTER_BITS // 8)
+    for r in parts.toLocalIterator():
+        at = (r["part"] - 1) * len(r["bits"])
+        out[at : at + len(r["bits"])] = r["bits"]
+    return bytes(out)
 
 
-def _document_words(src: DataFrame, fixes: DataFrame, carried: int) -> DataFrame:
-    """(doc_id, word, n) of each document, of garbled words alone where these can be carried, and its number of lost characters under the word ''."""
-    few = (fixes.agg(F.sum(F.ceil(F.length("word") / LONG))).first()[0] or 0) <= carried
-    shared = src.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in fixes.select("word").toLocalIterator()) if few else None)
+def _document_words(src: DataFrame, fixes: DataFrame) -> DataFrame:
+    """(doc_id, word, n) of the words of each document that pass the filter, and its number of lost characters under the word ''."""
+    shared = src.sparkSession.sparkContext.broadcast(_filter(fixes))
 
     def make():
-        wanted = shared.value
+        bits = shared.value
+        seen_before: dict[str, bool] = {}
+
+        def wanted(w: str) -> bool:
+            hit = seen_before.get(w)
+            if hit is None:
+                if len(seen_before) >= REMEMBERED:
+                    seen_before.clear()
+                b = xxhash.xxh64_intdigest(w.encode(), 42) % FILTER_BITS  # as Spark hashes; the modulus is a power of two, so the sign doesn't matter
+                hit = seen_before[w] = bool(bits[b >> 3] >> (b & 7) & 1)
+            return hit
 
         def f(c):
             out: dict[str, list] = {"doc_id": [], "word": [], "n": []}
             for d, t in zip(c["doc_id"], c["text"]):
                 if not t or t.isascii():
                     continue
-                seen = Counter([w for w in words_of(t) if w in wanted] if wanted is not None else words_of(t))
+                seen = Counter([w for w in words_of(t) if wanted(w)])
                 lost = len(re.findall(f"(?<=[^\\W_]){_LOST}|{_LOST}(?=[^\\W_])", t)) if _LOST in t else 0
                 if lost:
                     seen[""] = lost
@@ -305,13 +376,13 @@ def _document_words(src: DataFrame, fixes: DataFrame, carried: int) -> DataFrame
     return map_rows(src, make, "doc_id bigint, word string, n int")
 
 
-def _met(documents: DataFrame, doc_id: str, text: str, carried: int) -> tuple[DataFrame, DataFrame]:
+def _met(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, k, word, restaurado, way) of the garbled words of each document, and (doc_id, perdidos)."""
     src = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     counts = store(_word_counts(src), "words")
     fixes = store(restorations(counts, learn(counts)), "fixes")
     # Repeated documents meet here, by their few garbled words, and not by their texts.
-    words = store(_document_words(src, fixes, carried).distinct(), "garbled")
+    words = store(_document_words(src, fixes).distinct(), "garbled")
     met = words.where("word <> ''").join(fixes, "word").select("doc_id", "n", "k", "word", "restaurado", "way")
     return met, words.where("word = ''").groupBy("doc_id").agg(F.sum("n").alias("perdidos"))
 
@@ -322,19 +393,19 @@ def _sums(met: DataFrame, lost: DataFrame, *more) -> DataFrame:
     return j.withColumn("danados", F.coalesce("danados", F.lit(0))).withColumn("perdidos", F.coalesce("perdidos", F.lit(0)))
 
 
-def garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", carried: int = CARRIED_WORDS) -> DataFrame:
+def garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, danados, perdidos, pares): per document with any, the garbled characters that can be restored, those that are lost, and the words with their restored forms.
 
     Null, empty and pure ASCII texts have none. Repeated document rows count once per distinct text. Null ids are left
     out. An empty table gives an empty result.
     """
-    met, lost = _met(documents, doc_id, text, carried)
+    met, lost = _met(documents, doc_id, text)
     return _sums(met, lost, F.collect_set(F.struct("word", "restaurado", "way")).alias("pares")).select("doc_id", "danados", "perdidos", "pares")
 
 
-def found(documents: DataFrame, carried: int = CARRIED_WORDS) -> DataFrame:
+def found(documents: DataFrame) -> DataFrame:
     """(doc_id): the documents with at least CASE_CHARS garbled characters, restorable or not."""
-    return _sums(*_met(documents, "doc_id", "text", carried)).where(F.col("danados") + F.col("perdidos") >= CASE_CHARS).select("doc_id")
+    return _sums(*_met(documents, "doc_id", "text")).where(F.col("danados") + F.col("perdidos") >= CASE_CHARS).select("doc_id")
 
 
 def restored(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -311,7 +311,6 @@ def test_mojibake(spark):
     fine = [(50, "A REGIÃO DE ÂNGULO NÃO TERÁ INSTALAÇÃO; A IRMÃ “ÃNDEL” VIRÁ"), (51, "x²+y²≤4·π"), (52, "$¬°{}~·" * 9), (53, None), (54, ""), (None, bad[1])]
     d = docs(spark, rows + list(bad.items()) + fine)
     assert {r.doc_id for r in mojibake.found(d).collect()} == set(bad)
-    assert {r.doc_id for r in mojibake.found(d, carried=0).collect()} == set(bad)
     back = {r.doc_id: r.texto for r in mojibake.restored(d).collect()}
     assert back[1] == back[2] == back[3] == back[4] == clean and back[5].lower() == ru.lower()
     assert mojibake.found(docs(spark, [])).count() == 0
@@ -327,12 +326,36 @@ def test_mojibake_of_any_length(spark):
     clean = "La comisión revisó la región según el acta y amplió la capacitación técnica del año según la dirección. "
     rows = [(i, zh) for i in range(100, 120)] + [(i, ja) for i in range(120, 140)] + [(i, clean) for i in range(140, 160)] + [(4, wrong(clean, "utf-8", "latin-1"))]
     d = docs(spark, rows + list(bad.items()))
-    for carried in (mojibake.CARRIED_WORDS, 0):
-        assert {r.doc_id for r in mojibake.found(d, carried=carried).collect()} == {1, 2, 3, 4}
+    assert {r.doc_id for r in mojibake.found(d).collect()} == {1, 2, 3, 4}
     back = {r.doc_id: r.texto for r in mojibake.restored(d).collect()}
     assert back[1] == zh and back[2] == ja and back[3] == "报告" + zh[:9] + "报告" and back[4] == clean
 
 
+def test_chance_decodings_are_no_cases(spark):
+    # Words of one alphabet decode to known Chinese characters by chance; letters that look alike to a known word; small letters to capitals.
+    zh = "布平。低成本技术圆桌会否决了布料，平台协调了。Ｒ布平布"
+    ru = "Со временем комитет обновляет список по данным временем. "
+    wrong = lambda t, a, b: t.encode(a).decode(b)
+    es = "Las varias comités y várias áreas del comité según la región técnica así, más allá del número y la razón última. "
+    pt = "O comitê das várias áreas ampliou a técnica e a região conforme o número da razão. "
+    rows = [(i, zh) for i in range(100, 130)] + [(i, ru) for i in range(130, 170)] + [(i, es) for i in range(170, 200)] + [(i, pt) for i in range(200, 210)]
+    rows += [(1, wrong(es, "cp1252", "cp437")), (2, wrong(es, "cp1252", "mac_roman")), (3, es.replace("várias", "v\u0430rias")), (4, es.replace("más", "m\u0430s"))]
+    assert {r.doc_id for r in mojibake.found(docs(spark, rows)).collect()} == {1, 2}
+
+
+def test_long_words_teach_and_layers_have_no_limit(spark):
+    long = "ó".join("interdepartamentalizadas") + "ción" * 3
+    clean = [f"{long}{x} y región{x} según{x} acción{x}" for x in ("a", "e", "u", "i")]
+    wrong = lambda t, a, b: t.encode(a).decode(b)
+    assert len(long) > 40
+    rows = [(i, " ".join(clean)) for i in range(100, 140)] + [(i, wrong(" ".join(clean), "cp1252", "mac_roman")) for i in (1, 2)]
+    deep = "señal"
+    for _ in range(6):
+        deep = wrong(deep, "utf-8", "latin-1")
+    assert mojibake.undo_utf8(deep) == "señal"
+    assert {r.doc_id for r in mojibake.found(docs(spark, rows + [(3, deep)])).collect()} == {1, 2, 3}
+
+
 def test_undo_is_exact():
     for a in ("utf-8", "cp1251", "koi8-r"):
         for b in ("latin-1", "mac_roman", "cp437"):
