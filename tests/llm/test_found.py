@@ -349,10 +349,10 @@ def test_long_words_teach_and_layers_have_no_limit(spark):
     wrong = lambda t, a, b: t.encode(a).decode(b)
     assert len(long) > 40
     rows = [(i, " ".join(clean)) for i in range(100, 140)] + [(i, wrong(" ".join(clean), "cp1252", "mac_roman")) for i in (1, 2)]
-    deep = "señal"
+    deep = "región según acción"
     for _ in range(6):
         deep = wrong(deep, "utf-8", "latin-1")
-    assert mojibake.undo_utf8(deep) == "señal"
+    assert [mojibake.undo_utf8(w) for w in deep.split(" ")] == ["región", "según", "acción"]
     assert {r.doc_id for r in mojibake.found(docs(spark, rows + [(3, deep)])).collect()} == {1, 2, 3}
 
 
