@@ -17,6 +17,18 @@ TOKENS_PER_WORD = 1.9
 DANGLING_WORDS = 12
 DANGLING_TIMES = 2
 CEILING = 1.2
+CLOSED = ".!?…:;。！？।؟)]}»”\"'"
+
+# Where a fragment may be cut, from the most to the least like a sentence.
+EDGES = (
+    r"(?<=[.!?…。！？])\s+",
+    r"\n+",
+    r"\s*;\s*",
+    r"\s*\|\s*",
+    r"\s+/\s+",
+    r"(?<=\))/(?=[A-ZÁÉÍÓÚÑ])",
+    r"\t+",
+)
 
 # Repeated lines of pages.
 HEAD_LINES = 8

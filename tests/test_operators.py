@@ -1,7 +1,12 @@
 import random
+import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
+from telar import config as C
+from telar.functions import segment
 from telar.operators import boilerplate, chunking, graph, ingest, labels, quality, retrieval, tiles
 
 
@@ -34,12 +39,98 @@ def test_units_keep_every_word():
 
 def test_long_units():
     items = "; ".join(f"cosa {i} de la lista" for i in range(100))
-    assert all(chunking.count(x) <= 250 for x in chunking.shorten(items, 250))
+    got = chunking.shortened(items, 250)
+    assert [chunking.count(x) for x in got] == [250, 250] and got[0].startswith("cosa 0 de la lista cosa 1")
+    record = " | ".join(f"campo{i}: " + "v " * 30 for i in range(12))
+    assert all(chunking.count(x) <= 250 for x in chunking.shortened(record, 250))
+    assert chunking.shortened("pmid: 7 | title: " + "x " * 400, 250) == ["pmid: 7", "title: " + ("x " * 400).strip()]
     field = "campo: " + ". ".join("uno dos tres cuatro" for _ in range(100)) + "."
-    assert all(x.startswith("campo:") for x in chunking.split_sentences(field))
+    assert all(x.startswith("campo: uno") for x in chunking.field_sentences(field))
     assert max(map(chunking.count, chunking.subdivide("palabra " * 900, 250))) <= 250
 
 
+units_ = st.lists(st.tuples(st.integers(1, 30), st.sampled_from([".", "", ":", ","])), max_size=40)
+
+
+@settings(max_examples=200, deadline=None)
+@given(units_, st.integers(5, 40), st.booleans())
+def test_packs_are_full_and_extended_by_the_rule(sizes, objective, extend):
+    units = [" ".join(f"u{i}" for _ in range(n)) + end for i, (n, end) in enumerate(sizes)]
+    packs = [p.split("\x00") for p in chunking.pack(units, objective, "\x00", extend)]
+    assert [u for p in packs for u in p] == units
+    for k, p in enumerate(packs):
+        n = [chunking.count(u) for u in p]
+        plain = max(1, max((i for i in range(len(n) + 1) if sum(n[:i]) <= objective), default=1))
+        more = len(n) - plain
+        assert more <= (2 if extend else 0)
+        assert all(chunking.dangling(p[i - 1]) and sum(n[: i + 1]) <= int(1.2 * objective) for i in range(plain, len(n)))
+        if k + 1 < len(packs):
+            after = sum(n) + chunking.count(packs[k + 1][0])
+            assert after > objective and not (extend and more < 2 and chunking.dangling(p[-1]) and after <= int(1.2 * objective))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["uno", "dos", "tres.", "B", "; ", " | ", " / ", "\n", ")/A", "\t", "fin. "]), max_size=120), st.integers(1, 12))
+def test_subdivided_pieces_are_within_the_limit_and_keep_the_words(parts, most):
+    text = " ".join(parts)
+    got = chunking.subdivide(text, most)
+    assert all(0 < chunking.count(x) <= most for x in got)
+    bare = lambda t: re.sub(r"[\s;|/]+", "", t)
+    assert bare("".join(got)) == bare(text)
+
+
+def plain_subdivide(text, most):
+    """The rule as it reads: the first kind of boundary that parts the text, each part by the same rule, neighbours put together."""
+    if len(text.split()) <= most:
+        return [text.strip()] if text.strip() else []
+    for kind in C.EDGES:
+        parts = [x for x in re.split(kind, text) if x.strip()]
+        if len(parts) > 1:
+            return chunking.regrouped([y for x in parts for y in plain_subdivide(x, most)], " ", most)
+    return chunking.regrouped(text.split(), " ", most)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["uno", "dos", "tres", "B", ";", "|", " / ", "\n", "\t", "fin. "]), max_size=80), st.integers(1, 9))
+def test_subdivide_equals_the_plain_rule(parts, most):
+    text = " ".join(parts)
+    assert [x.strip() for x in chunking.subdivide(text, most)] == plain_subdivide(text, most)
+
+
+def test_rejoined_and_output_pieces():
+    assert chunking.rejoined("la inter-\nnacional de\nla red.\nOtra:\nno") == "la internacional de la red.\nOtra:\nno"
+    assert chunking.for_output("corto") == ["corto"]
+    assert chunking.for_output("a b c\nd e\nf", 3) == ["a b c", "d e\nf"]
+    assert chunking.for_output("Uno dos. Tres cuatro. Cinco.", 3, "pdf") == ["Uno dos.", "Tres cuatro. Cinco."]
+    assert chunking.for_output("a b c d", 3, "csv") == ["a b c d"]
+
+
+@pytest.mark.parametrize("lang, text, want", [
+    ("es", "El Dr. Olmo vino. La pág. 3 no. ¿Y qué? Fin", ["El Dr. Olmo vino.", "La pág. 3 no.", "¿Y qué?", "Fin"]),
+    ("en", "Mr. Poe saw it, e.g. here. He left.", ["Mr. Poe saw it, e.g. here.", "He left."]),
+    ("de", "Das gilt z.B. hier. Nein!", ["Das gilt z.B. hier.", "Nein!"]),
+    ("zh", "他走了。“谁？”没人知道！", ["他走了。", "“谁？”", "没人知道！"]),
+    ("hi", "वह आया। कौन? कोई नहीं।", ["वह आया।", "कौन?", "कोई नहीं।"]),
+    (None, "1. La red sigue. J. Olmo va… y sigue.", ["1. La red sigue.", "J. Olmo va… y sigue."]),
+    ("es", "", []),
+])
+def test_segments(lang, text, want):
+    assert segment.sentences(text, lang) == want
+
+
+def test_cached_units(spark, tmp_path):
+    path = str(tmp_path / "units")
+    d = lambda *r: spark.createDataFrame(r, "doc_id string, text string, formato string")
+    first = chunking.cached_units(d(("A", "Uno. Dos.", "pdf"), ("B", "x: 1\ny: 2", "csv"), ("A", "Uno. Dos.", "pdf"), ("C", None, None)), path)
+    assert {r.doc_id: list(r.unidades) for r in first.collect()} == {"A": ["Uno.", "Dos."], "B": ["x: 1", "y: 2"], "C": []}
+    spark.read.parquet(path).createOrReplaceTempView("before")
+    changed = d(("A", "Uno. Tres.", "pdf"), ("B", "x: 1\ny: 2", "csv"))
+    again = chunking.cached_units(changed, path)
+    assert {r.doc_id: list(r.unidades) for r in again.collect()} == {"A": ["Uno.", "Tres."], "B": ["x: 1", "y: 2"]}
+    assert spark.read.parquet(path).count() == 4
+    assert rows(chunking.chunk_documents(changed, cache=path).select("chunk_id", "texto")) == rows(chunking.chunk_documents(changed).select("chunk_id", "texto"))
+
+
 def test_chunk_documents(spark):
     d = spark.createDataFrame([("A", "pdf", "Una frase. Otra frase."), ("B", "csv", "a: 1\nb: 2"), ("C", None, None), ("D", "txt", " ")], "doc_id string, formato string, text string")
     got = [(r.chunk_id, r.texto, r.num_words, r.num_tokens) for r in chunking.chunk_documents(d).orderBy("chunk_id").collect()]
