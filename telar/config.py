@@ -74,3 +74,13 @@ ENTITIES = {
         "cooperacion", "colisión", "colision",
     ),
 }
+
+# Words that name no entity, and those that a short phrase may not hold.
+ENTITY_STOPWORDS = frozenset((
+    "la", "el", "los", "las", "de", "del", "y", "en", "para", "con",
+    "por", "sobre", "como", "según", "segun", "una", "unos", "unas",
+    "the", "and", "for", "with", "of", "in", "on", "to", "a", "an",
+))
+ENTITY_GLUE = ("por", "con", "para", "y")
+#: What an edge says of itself comes from so many of its places; all of them are rows beside it.
+EDGE_SOURCES = 20

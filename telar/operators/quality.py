@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from telar import config as C
 from telar.functions.text import word_count
+from telar.session import store
 
 TERMINATED = r"[.!?…:;。！？।؟][\"'”»)\]]*\s*$"
+SALTS = 32
 RECORD_LINE = r"^[A-Za-zÀ-ɏ0-9_.\- ]{1,40}:"
 
 
@@ -86,32 +88,44 @@ def deltas(base: DataFrame, variant: DataFrame, key: str, value: str) -> DataFra
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: str, n: int, seed: int = 7) -> DataFrame:
-    """(key, stratum): about n rows, each stratum by its share and at least one; drawn by the hash of the key, so twice the same.
+    """(key, stratum): about n rows, each stratum by its share and at least one: those with the lowest hashes of the key, so twice the same.
 
-    Only the rows below a hash bound are ranked: with some slack for luck, never a whole stratum.
+    Exact at every size: a stratum is ranked in SALTS parts by the hash, and what each keeps, no more than the quota, is ranked again.
     """
     d = df.select(F.col(key).alias("_key"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum"))
     sizes = d.groupBy("_stratum").agg(F.count("*").alias("_size"))
     total = sizes.agg(F.sum("_size").alias("_total"))
     quota = F.least(F.col("_size"), F.greatest(F.lit(1), F.bround(F.lit(float(n)) * F.col("_size") / F.col("_total")).cast("bigint")))
-    q = sizes.crossJoin(F.broadcast(total)).select("_stratum", "_size", quota.alias("_quota"))  # one row
+    q = sizes.crossJoin(F.broadcast(total)).select("_stratum", quota.alias("_quota"))  # one row
     h = F.md5(F.concat(F.col("_key").cast("string"), F.lit(f"#{seed}")))
-    w = W.partitionBy("_stratum").orderBy("_h", "_key")
     drawn = d.withColumn("_h", h).join(F.broadcast(q), "_stratum")  # a row per stratum
-    # The quota lowest hashes lie below twice the share (and some) of the hash range but for chances beyond counting.
-    share = F.least(F.lit(1.0), (F.col("_quota") * 2.0 + 40) / F.col("_size"))
-    low = F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / 4294967296.0
-    return drawn.where(low <= share).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_quota")).select(F.col("_key").alias(key), F.col("_stratum").alias(stratum))
+    r = F.row_number().over(W.partitionBy("_stratum").orderBy("_h", "_key"))
+    # A stratum of a third of the rows is ranked in SALTS parts first; what is left of it is its quota from each.
+    salted = drawn.withColumn("_salt", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int") % SALTS)
+    low = F.row_number().over(W.partitionBy("_stratum", "_salt").orderBy("_h", "_key"))
+    few = salted.withColumn("_r", low).where(F.col("_r") <= F.col("_quota"))
+    return few.withColumn("_r", r).where(F.col("_r") <= F.col("_quota")).select(F.col("_key").alias(key), F.col("_stratum").alias(stratum))
 
 
-def fingerprint(df: DataFrame, *keys: str) -> DataFrame:
-    """One row (n, huella): a fingerprint of the rows in the order of their keys.
+def fingerprint(df: DataFrame, *keys: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """One row (n, huella): a fingerprint of the rows in the order of ``order`` (of the keys themselves, if none is given).
 
-    As the keys fix the order, the set of keys fixes the sequence: a mergeable sum over their hashes tells sequences
-    apart without bringing them to one task.
+    Every row is hashed with its place in the order, so the same rows in another order have another fingerprint, and
+    equal rows don't cancel. Places come from sizes: rows are sorted in ranges, and each range begins where the sizes of
+    those before it end; no rows are brought to one task.
     """
-    h = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])), 1, 15), 16, 10).cast("bigint")
-    return df.agg(F.count("*").alias("n"), F.bit_xor(h).alias("huella"))
+    by = list(order or keys)
+    low = (1 << 33) - 1
+    at = F.monotonically_increasing_id()
+    cols = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_k{i}") for i, k in enumerate(keys)]
+    ranged = df.select(*cols, *[F.col(k).alias(f"_o{i}") for i, k in enumerate(by)])
+    names = [f"_o{i}" for i in range(len(by))]
+    rows = store(ranged.repartitionByRange(*names).sortWithinPartitions(*names).select(*[f"_k{i}" for i in range(len(keys))], F.shiftright(at, 33).alias("_part"), at.bitwiseAND(F.lit(low)).alias("_place")), "ordered")
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_size"))  # as many rows as ranges
+    start = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    n = (F.col("_start") + F.col("_place")).cast("string")
+    h = F.conv(F.substring(F.md5(F.concat_ws("\x1f", n, *[f"_k{i}" for i in range(len(keys))])), 1, 15), 16, 10).cast("bigint")
+    return rows.join(F.broadcast(start), "_part").agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("huella"))
 
 
 def vote(labels: DataFrame) -> DataFrame:

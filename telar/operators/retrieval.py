@@ -15,6 +15,26 @@ from telar.session import ship
 
 #: Queries per scan of the vectors. Each block is carried to the tasks: at 4,096 x 1,024 doubles 32 MB.
 QUERY_BLOCK = 4_096
+#: Queries that are scored against a batch at once: 64 x 10,000 doubles are 5 MB.
+QUERY_SLICE = 64
+
+
+def _best(old_s: np.ndarray | None, old_i: np.ndarray | None, scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest scores of each row, of those held and the new ones; equals at the edge by the smaller id, as in the final ranking."""
+    s, i = scores, np.broadcast_to(ids, scores.shape)
+    if old_s is not None:
+        s, i = np.hstack([old_s, s]), np.hstack([old_i, i])
+    if s.shape[1] <= k:
+        return s, np.ascontiguousarray(i)
+    kth = np.partition(s, s.shape[1] - k, axis=1)[:, -k]
+    out_s, out_i = np.empty((len(s), k)), np.empty((len(s), k), np.int64)
+    for r in range(len(s)):
+        over, even = np.flatnonzero(s[r] > kth[r]), np.flatnonzero(s[r] == kth[r])
+        if len(over) + len(even) > k:
+            even = even[np.argsort(i[r, even], kind="stable")[: k - len(over)]]
+        pick = np.concatenate([over, even])
+        out_s[r], out_i[r] = s[r, pick], i[r, pick]
+    return out_s, out_i
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int = C.TOP_K, vec_id: str = "vec_id", embedding: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
@@ -35,24 +55,18 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = C.TOP_K, vec_id: str =
 
         def run(batches):
             ids, q = shared.value
-            best_s = np.full((len(ids), 0), -np.inf)
-            best_i = np.zeros((len(ids), 0), np.int64)
+            best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 e = batch.column(1)
                 m = e.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
                 v = batch.column(0).to_numpy(zero_copy_only=False)
-                s = np.hstack([best_s, q @ m.T])
-                i = np.hstack([best_i, np.broadcast_to(v, (len(ids), len(v)))])
-                if s.shape[1] > k:
-                    # Ties at the edge are settled by id, as in the final ranking.
-                    order = np.lexsort((i, -s), axis=1)[:, :k]
-                    s, i = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-                best_s, best_i = s, i
-            n = best_s.shape[1]
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(best_i.ravel()), pa.array(best_s.ravel())], ["query_id", "vec_id", "score"])
+                for at in range(0, len(ids), QUERY_SLICE):
+                    part = slice(at, at + QUERY_SLICE)
+                    best[at] = _best(*best.get(at, (None, None)), q[part] @ m.T, v, k)
+            for at, (s, i) in best.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at : at + QUERY_SLICE], s.shape[1])), pa.array(i.ravel()), pa.array(s.ravel())], ["query_id", "vec_id", "score"])
 
         return src.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
 
@@ -107,6 +121,15 @@ def evidence(edges: DataFrame, most: int = 3, chars: int = 180) -> DataFrame:
     return e.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", text.alias("t")))), lambda x: x["t"]), " | ").alias("evidencia"))
 
 
+def sidecar(documents: DataFrame, triplets_: DataFrame, most: int = 3) -> DataFrame:
+    """(query_id, rank, doc_id, graph_evidence): the chosen documents (query_id, rank, doc_id) with the first edges that each states, as rows within the row."""
+    w = W.partitionBy("doc_id").orderBy("chunk_id", "orden", "subject", "object")
+    first = triplets_.join(documents.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("r", F.row_number().over(w)).where(F.col("r") <= most)
+    said = F.transform(F.array_sort(F.collect_list(F.struct("r", "subject", "relation", "object", "evidence"))), lambda x: x.dropFields("r"))
+    per = first.groupBy("doc_id").agg(said.alias("graph_evidence"))
+    return documents.select("query_id", "rank", "doc_id").join(per, "doc_id", "left").select("query_id", "rank", "doc_id", F.coalesce("graph_evidence", F.array().cast(per.schema["graph_evidence"].dataType)).alias("graph_evidence"))
+
+
 def fragments(hits: DataFrame, evidence_: DataFrame, most: int = C.FRAGMENTS_PER_QUERY, words: int = C.FRAGMENT_WORDS) -> DataFrame:
     """(query_id, rank, chunk_id, doc_id, text): the first hits (query_id, rank, doc_id, chunk_id, texto) with content.
 

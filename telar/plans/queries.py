@@ -401,9 +401,12 @@ def ab_delta(spark, sf):
     return quality.deltas(c.groupBy("doc_id").agg(F.count("*").alias("n")), c.groupBy("doc_id").agg(F.count_distinct("chunk_id").alias("n")), "doc_id", "n")
 
 
-@query("SELECT count(*) AS n, bit_xor(('0x' || substr(md5(coalesce(doc_id, '') || chr(31) || posicion::VARCHAR), 1, 15))::BIGINT) AS huella FROM (SELECT DISTINCT doc_id, posicion FROM chunks)")
+@query(
+    """SELECT count(*) AS n, bit_xor(('0x' || substr(md5((i - 1)::VARCHAR || chr(31) || doc_id || chr(31) || posicion || chr(31) || chunk_id), 1, 15))::BIGINT) AS huella
+    FROM (SELECT coalesce(doc_id, '') AS doc_id, posicion::VARCHAR AS posicion, chunk_id, row_number() OVER (ORDER BY doc_id NULLS FIRST, posicion, chunk_id) AS i FROM chunks)"""
+)
 def order_fingerprint(spark, sf):
-    return quality.fingerprint(_t(spark, sf, "chunks").select("doc_id", "posicion").distinct(), "doc_id", "posicion")
+    return quality.fingerprint(_t(spark, sf, "chunks"), "doc_id", "posicion", "chunk_id")
 
 
 @query(
@@ -493,24 +496,24 @@ def rrf_fusion(spark, sf):
 # --- graph -------------------------------------------------------------------------------------------------------
 
 
-def _unique_chunks(spark, sf):
-    return _t(spark, sf, "chunks").where("chunk_id IS NOT NULL").select("chunk_id", "doc_id", "texto").groupBy("chunk_id").agg(F.max("doc_id").alias("doc_id"), F.first("texto").alias("texto"))
+def _chunks(spark, sf):
+    return _t(spark, sf, "chunks").where("chunk_id IS NOT NULL").select("chunk_id", "doc_id", "texto")
 
 
 def entities(spark, sf):
-    return graph.entities(_unique_chunks(spark, sf))
+    return graph.once(graph.entities(_chunks(spark, sf)))
 
 
 def triplets(spark, sf):
-    return graph.triplets(_unique_chunks(spark, sf))
+    return graph.once(graph.triplets(_chunks(spark, sf)))
 
 
 def graph_edges(spark, sf):
-    return graph.edges(graph.triplets(_unique_chunks(spark, sf)))
+    return graph.edges(store(triplets(spark, sf), "triplets"))
 
 
 def graph_nodes(spark, sf):
-    return graph.nodes(graph.edges(graph.triplets(_unique_chunks(spark, sf))))
+    return graph.nodes(triplets(spark, sf))
 
 
 def _query_entities(spark, sf):
@@ -519,30 +522,37 @@ def _query_entities(spark, sf):
 
 
 def graph_candidates(spark, sf):
-    return graph.candidates(_query_entities(spark, sf), store(graph.triplets(_unique_chunks(spark, sf)), "triplets"))
+    return graph.candidates(_query_entities(spark, sf), store(triplets(spark, sf), "triplets"))
 
 
 def document_evidence(spark, sf):
-    return retrieval.evidence(graph.triplets(_unique_chunks(spark, sf)).where("doc_id IS NOT NULL"))
+    return retrieval.evidence(triplets(spark, sf).where("doc_id IS NOT NULL"))
 
 
 def _ranked_chunks(spark, sf):
     """Chunks that share most distinct words with a query: a ranking for queries that come without a vector."""
-    q = _t(spark, sf, "consultas").select("query_id", F.explode(F.array_distinct(text.words(F.lower(F.regexp_replace("texto", r"[^\p{L}\p{N}]+", " "))))).alias("w")).where("length(w) > 3")
-    c = _unique_chunks(spark, sf)
-    w = c.select("chunk_id", "doc_id", F.explode(F.array_distinct(text.words(F.lower(F.regexp_replace("texto", r"[^\p{L}\p{N}]+", " "))))).alias("w"))
-    n = w.join(F.broadcast(q), "w").groupBy("query_id", "chunk_id", "doc_id").agg(F.count("*").alias("score"))  # 50 fixed queries
+    words = lambda t: F.array_distinct(text.words(F.lower(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))))
+    q = _t(spark, sf, "consultas").select("query_id", F.explode(words("texto")).alias("w")).where("length(w) > 3")
+    c = _chunks(spark, sf)
+    # Words, not texts, are shuffled; the few chunks that stay fetch their texts last. 50 fixed queries.
+    n = c.select("chunk_id", "doc_id", F.explode(words("texto")).alias("w")).join(F.broadcast(q), "w").groupBy("query_id", "chunk_id", "w").agg(F.max("doc_id").alias("doc_id"))
+    n = n.groupBy("query_id", "chunk_id").agg(F.max("doc_id").alias("doc_id"), F.count("*").alias("score"))
     r = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id"))
-    return n.withColumn("rank", r).where(F.col("rank") <= C.TOP_K).join(c.select("chunk_id", "texto"), "chunk_id")
+    top = store(n.withColumn("rank", r).where(F.col("rank") <= C.TOP_K), "ranked")
+    texts = c.join(top.select("chunk_id").distinct(), "chunk_id", "left_semi").groupBy("chunk_id").agg(F.first("texto").alias("texto"))
+    return top.join(texts, "chunk_id")
 
 
 def retrieval_fragments(spark, sf):
-    e = document_evidence(spark, sf)
-    return retrieval.fragments(_ranked_chunks(spark, sf), e)
+    return retrieval.fragments(_ranked_chunks(spark, sf), document_evidence(spark, sf))
+
+
+def evidence_sidecar(spark, sf):
+    return retrieval.sidecar(retrieval_documents(spark, sf), triplets(spark, sf).where("doc_id IS NOT NULL"))
 
 
 def retrieval_documents(spark, sf):
-    t = store(graph.triplets(_unique_chunks(spark, sf)), "triplets")
+    t = store(triplets(spark, sf), "triplets")
     v = retrieval.document_ranking(_ranked_chunks(spark, sf))
     g = retrieval.ranked(graph.candidates(_query_entities(spark, sf), t))
     return retrieval.fuse(v, g).where(F.col("rank") <= C.DOCUMENTS_PER_QUERY)
@@ -563,7 +573,7 @@ def hourly_events(spark, sf):
     return hourly(_t(spark, sf, "events"))
 
 
-for _f in (joined_pages, isolated_lines, language_rules, footers_trimmed, repeated_page_lines, boilerplate_clean, surviving_headers, chunks_packed, residual_class, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, retrieval_fragments, retrieval_documents, result_check):
+for _f in (joined_pages, isolated_lines, language_rules, footers_trimmed, repeated_page_lines, boilerplate_clean, surviving_headers, chunks_packed, residual_class, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, evidence_sidecar, retrieval_fragments, retrieval_documents, result_check):
     Q[_f.__name__] = _f
 
 

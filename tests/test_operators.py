@@ -212,7 +212,7 @@ def test_triplets():
 
 
 def test_entities():
-    e = [x.lower() for x in graph.entities_of("La ONU y Colombia en la cumbre sobre software", graph.lexicon(), True)]
+    e = [x.lower() for x in graph.entities_of("La ONU y Colombia en la cumbre sobre software", graph.lexicon())]
     assert {"onu", "colombia", "cumbre", "software"} <= set(e)
 
 
@@ -221,12 +221,56 @@ def test_edges(spark):
     t = graph.triplets(c)
     e = graph.edges(t).collect()
     assert [(x.relation, x.doc_id, x.chunk_id, x.n_docs) for x in e] == [("regula", "D1", "D1_c0", 2)]
-    assert graph.nodes(graph.edges(t)).count() == 2
+    assert [(x.evidence, x.doc_ids, x.chunk_ids) for x in e] == [("China regula el software. || China regula el software.", "D1;D2", "D1_c0;D2_c0")]
+    assert graph.edges(t, sources=1).first().doc_ids == "D1"
+    assert graph.nodes(t).count() == 2
     q = spark.createDataFrame([("q1", "china"), ("q2", "nadie")], "query_id string, entity string")
     assert rows(graph.candidates(q, t)) == [("q1", "D1"), ("q1", "D2")]
     assert "regula" in retrieval.evidence(t).where("doc_id = 'D1'").first().evidencia
 
 
+def test_golden_triplets(spark):
+    # The three chunks and the four triplets that the survey names as a pair.
+    said = [
+        ("F1-AIINDEX-001", "Estados Unidos desarrolla sistemas autónomos para defensa. Colombia regula el uso de estos sistemas."),
+        ("F2-ESA-005", "La Fuerza Aérea coordina con la ONU para mitigar riesgos espaciales y la basura orbital."),
+        ("F3-COL-010", "Colombia afecta la gobernanza territorial y la seguridad regional mediante decisiones de política pública."),
+    ]
+    c = spark.createDataFrame([(d, f"{d}_c000", t) for d, t in said] * 2, "doc_id string, chunk_id string, texto string")
+    got = {(r.subject, r.relation, r.object, r.doc_id) for r in graph.once(graph.triplets(c)).collect()}
+    assert got == {("Estados Unidos", "desarrolla", "sistemas autónomos", "F1-AIINDEX-001"), ("Colombia", "regula", "uso", "F1-AIINDEX-001"), ("Colombia", "afecta", "gobernanza territorial", "F3-COL-010"), ("La Fuerza Aérea", "coordina", "con la ONU", "F2-ESA-005")}
+    side = retrieval.sidecar(spark.createDataFrame([("q", 1, "F1-AIINDEX-001"), ("q", 2, "otro")], "query_id string, rank int, doc_id string"), graph.once(graph.triplets(c))).orderBy("rank").collect()
+    assert [(x.subject, x.object) for x in side[0].graph_evidence] == [("Estados Unidos", "sistemas autónomos"), ("Colombia", "uso")] and side[1].graph_evidence == []
+
+
+@pytest.mark.parametrize("text", ["China regula Colombia y Rusia opera  Drones Grandes.", "la ia regula la ia. Rusia regula china regula rusia", "EE.UU. regula NATO. Acme Global affects China"])
+def test_stated_equals_one_search_per_pair(text):
+    es = graph.entities_of(text, graph.lexicon())
+    for surface, relation in C.RELATIONS:
+        want = {(a, relation, b) for a in es for b in es if a != b and re.search(rf"\b{re.escape(a)}\b\s+{surface}\s+\b{re.escape(b)}\b", text, re.I)}
+        assert set(graph._stated(text, es, [(surface, relation)])) == want
+
+
+def test_candidates_equal_containment(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(1, 6)))
+    t = [(word(), "r", word(), f"d{i}", "c", 0, "e") for i in range(60)]
+    q = [(f"q{i}", word().upper()) for i in range(12)]
+    want = {(k, d) for k, e in q for s, _, o, d, *_ in t if any(e.lower() in x or x in e.lower() for x in (s, o))}
+    got = graph.candidates(spark.createDataFrame(q, "query_id string, entity string"), spark.createDataFrame(t, "subject string, relation string, object string, doc_id string, chunk_id string, orden int, evidence string"))
+    assert set(rows(got)) == want
+
+
+def test_fingerprint_tells_orders_apart(spark):
+    f = lambda *r: rows(quality.fingerprint(spark.createDataFrame(r, "seq int, k string"), "k", order=("seq",)))[0]
+    a, b = f((1, "A0"), (2, "A1")), f((1, "A1"), (2, "A0"))
+    assert a != b and a[0] == 2 and f((7, "A0"), (9, "A1")) == a
+    assert f((1, "A0"), (2, "A0"))[1] != 0 and f((1, "A0"), (2, "A0"), (3, "A1")) != f((1, "A1"))
+    d = spark.createDataFrame([(i, f"k{i % 7}") for i in range(1000)], "seq int, k string")
+    assert rows(quality.fingerprint(d.repartition(5), "k", order=("seq",))) == rows(quality.fingerprint(d, "k", order=("seq",)))
+    assert rows(quality.fingerprint(d.limit(0), "k")) == [(0, 0)]
+
+
 def test_fusion(spark):
     a = spark.createDataFrame([("q", "DOC-1", 1), ("q", "DOC-2", 2), ("q", "DOC-3", 3)], "query_id string, doc_id string, rank int")
     b = spark.createDataFrame([("q", "DOC-2", 1), ("q", "DOC-4", 2), ("q", None, 3)], "query_id string, doc_id string, rank int")
