@@ -1,15 +1,16 @@
 """Languages of documents and of passages in them (problem 2).
 
-Multinomial naive Bayes over hashed character n-grams. Texts of a whole batch are folded and hashed at once; every
-n-gram takes its row of the log-probability matrix, and rows are summed per sentence or line. A path through the
-sentences with a price for each change of language gives the passages; a background class takes what no language explains.
+Multinomial naive Bayes over hashed character n-grams. Texts are put one behind another, up to BATCH_CHARS of them, and
+folded and hashed at once; every n-gram takes its row of the log-probability matrix, which is broadcast, and one sum per
+sentence or line gives the scores of all of them. A path through the sentences with a price for each change of language
+gives the passages; a background class takes what no language explains.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,8 +21,14 @@ from telar.functions.batches import map_rows
 from telar.llm.chars import TOKEN, UNSPACED
 
 BUCKETS = 1 << 17
-#: Labelled documents to fit on, at most, of each spelling-free label (in expectation: chosen by the hash of their id).
+#: Labelled texts to fit on, at most, of each label, whatever its spelling (in expectation: distinct texts are chosen by their hash).
 PER_LABEL = 300
+#: Texts are scored together up to so many characters; a longer one is scored alone, and whole.
+BATCH_CHARS = 40_000
+#: A label that is not among the SEEDS is a language of its own if its texts are better explained by each other than by any other class: by so many nats for each n-gram.
+OWN_GAIN = 0.15
+#: Lengths, in characters, of the pieces of held-out texts that confidences are calibrated on.
+PIECES = (20, 40, 80, 160)
 #: Longer texts are not used to fit; all texts are scored whole.
 FIT_CHARS = 20_000
 PASSAGE_WORDS = 25
@@ -96,83 +103,150 @@ def grams(points: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+_PAD = "\n\n\n"  # behind each text: no n-gram that begins in one reaches the next
+
+
 @dataclass
 class Languages:
     names: list[str]
     logs: np.ndarray  # BUCKETS x classes, float32; row 0 is zero
+    heat: float = 1.0  # what scores are multiplied by before they are read as log-probabilities
+
+    def score_all(self, texts: list[str], ends: list[np.ndarray]) -> list[np.ndarray]:
+        """For each text, sums of log-probabilities over its parts, which end at ``ends``; the last column is the background."""
+        begins, at = [], 0
+        for t, e in zip(texts, ends):
+            begins.append(at + np.concatenate([[0], e[:-1]]))
+            at += len(t) + len(_PAD)
+        first = np.concatenate(begins)
+        total = np.zeros((len(first), len(self.names) + 1), np.float64)
+        for b in grams(fold("".join([t + _PAD for t in texts]))):
+            total[:, :-1] += np.add.reduceat(np.take(self.logs, b, axis=0), first, axis=0)
+            total[:, -1] += BACKGROUND * np.add.reduceat((b > 0).astype(np.float64), first)
+        return np.split(total, np.cumsum([len(e) for e in ends])[:-1])
 
     def score(self, text: str, ends: np.ndarray) -> np.ndarray:
-        """Sums of log-probabilities over the parts of ``text`` that end at ``ends``; the last column is the background."""
-        points = fold(text)
-        begins = np.concatenate([[0], ends[:-1]])
-        total = np.zeros((len(ends), len(self.names) + 1), np.float64)
-        for b in grams(points):
-            if len(b) == 0:
-                continue
-            rows = np.take(self.logs, b, axis=0)
-            at = np.minimum(begins, len(b) - 1)
-            sums = np.add.reduceat(rows, at, axis=0)
-            counts = np.add.reduceat((b > 0).astype(np.float64), at)
-            sums[begins >= len(b)] = 0
-            counts[begins >= len(b)] = 0
-            total[:, :-1] += sums
-            total[:, -1] += BACKGROUND * counts
-        return total
-
-
-def _counts(texts: list[str]) -> np.ndarray:
-    c = np.zeros(BUCKETS, np.float64)
-    for t in texts:
-        for b in grams(fold(t)):
-            c += np.bincount(b, minlength=BUCKETS)
-    c[0] = 0
-    return c
+        return self.score_all([text], [ends])[0]
 
+    def sure(self, sums: np.ndarray) -> float:
+        """The posterior of the best class, by calibrated scores."""
+        x = self.heat * (sums - sums.max())
+        return float(1 / np.exp(x).sum())
 
-def fit(texts: list[tuple[str, str]], rounds: int = 3) -> Languages:
-    """(label, text) pairs, with some wrong labels. Documents move to the class that explains them best; a class that loses nearly all of them goes."""
-    # Labels that their own held-out documents don't bear out are no classes: each half is judged by the other.
-    right: dict[str, list[bool]] = defaultdict(list)
-    for half in (0, 1) if texts else ():
-        model = _model(_seeded(texts[half::2]))
-        for label, t in texts[1 - half :: 2]:
-            right[label].append(_best(model, t) == label)
-    kept = {k for k, v in right.items() if k in SEEDS or sum(v) >= 0.5 * len(v)}
-    texts = [(k, t) for k, t in texts if k in kept]
-    given = {k: len(right[k]) for k in kept}
-    every = [t for _, t in texts]
-    model = _model(_seeded(texts))
-    for _ in range(rounds if every else 0):
-        moved: dict[str, list[str]] = defaultdict(list)
-        for t in every:
-            if k := _best(model, t):
-                moved[k].append(t)
-        model = _model(_seeded([(k, t) for k, v in moved.items() if k in SEEDS or len(v) >= max(3, 0.3 * given.get(k, 0)) for t in v]))
-    return model
 
+@dataclass
+class Counted:
+    """The n-grams of a text: which buckets, and how often each."""
 
-def _best(model: Languages, text: str) -> str | None:
-    k = int(model.score(text, np.array([max(len(text), 1)]))[0].argmax())
-    return model.names[k] if k < len(model.names) else None
+    buckets: np.ndarray
+    counts: np.ndarray
 
+    @classmethod
+    def of(cls, text: str) -> Counted:
+        b, n = np.unique(np.concatenate(grams(fold(text + _PAD))), return_counts=True)
+        return cls(b[b > 0], n[b > 0].astype(np.float32))
+
+    def scores(self, logs: np.ndarray) -> np.ndarray:
+        return self.counts @ logs[self.buckets]
 
-def _seeded(texts: list[tuple[str, str]]) -> dict[str, list[str]]:
-    by = {k: [seed] * 3 for k, seed in SEEDS.items()}
-    for k, t in texts:
-        by.setdefault(k, []).append(t)
-    return by
 
+_seed_counts: dict[str, Counted] = {}
 
-def _model(by: dict[str, list[str]]) -> Languages:
-    names = sorted(by)
+
+def _model(by: dict[str, list[Counted]]) -> Languages:
+    """The model of the texts of each class and of the seeds."""
+    if not _seed_counts:
+        _seed_counts.update({k: Counted.of(t) for k, t in SEEDS.items()})
+    names = sorted(by.keys() | SEEDS.keys())
     logs = np.zeros((BUCKETS, len(names)), np.float32)
     for j, k in enumerate(names):
-        c = _counts(by[k])
+        c = np.zeros(BUCKETS, np.float64)
+        for t in [*by.get(k, ()), *([_seed_counts[k]] * 3 if k in SEEDS else [])]:
+            c[t.buckets] += t.counts
         logs[:, j] = np.log((c + 0.02) / (c.sum() + 0.02 * BUCKETS))
     logs[0] = 0
     return Languages(names, logs)
 
 
+def _grouped(texts: list[tuple[str, Counted]]) -> dict[str, list[Counted]]:
+    by: dict[str, list[Counted]] = defaultdict(list)
+    for k, t in texts:
+        by[k].append(t)
+    return by
+
+
+def _kept(texts: list[tuple[str, Counted]]) -> set[str]:
+    """The labels that name languages of their own: each half of their texts is explained by the other half, and clearly better than by any other class.
+
+    A label that was put on texts of another language by mistake is none: its texts are explained as well by that one.
+    """
+    right: dict[str, list[bool]] = defaultdict(list)
+    for half in (0, 1):
+        model = _model(_grouped(texts[half::2]))
+        for label, t in texts[1 - half :: 2]:
+            if label in SEEDS or label not in model.names:
+                continue
+            s = t.scores(model.logs)
+            own = model.names.index(label)
+            rest = np.delete(s, own).max()
+            right[label].append(s[own] - rest >= OWN_GAIN * t.counts.sum())
+    return set(SEEDS) | {k for k, v in right.items() if sum(v) >= 0.5 * len(v)}
+
+
+def fit(texts: list[tuple[str, str]], rounds: int = 3) -> Languages:
+    """(label, text) pairs, with some wrong labels. Texts move to the class that explains them best; a class that loses nearly all of them goes."""
+    counted = [(k, Counted.of(t)) for k, t in texts]
+    kept = _kept(counted)
+    counted = [(k, t) for k, t in counted if k in kept and len(t.buckets)]
+    given = Counter(k for k, _ in counted)
+    model = _model(_grouped(counted))
+    for _ in range(rounds if counted else 0):
+        moved = []
+        for _, t in counted:
+            s = t.scores(model.logs)
+            k = int(s.argmax())
+            if s[k] > BACKGROUND * t.counts.sum():
+                moved.append((model.names[k], t))
+        sizes = Counter(k for k, _ in moved)
+        model = _model(_grouped([(k, t) for k, t in moved if k in SEEDS or sizes[k] >= max(3, 0.3 * given[k])]))
+    if texts:
+        model.heat = _calibrated(model, [t for _, t in texts])
+    return model
+
+
+def _calibrated(model: Languages, texts: list[str]) -> float:
+    """How much scores must be damped to be read as log-probabilities: n-grams that overlap count the same evidence several times.
+
+    Pieces of each half of the texts are scored by the model of the other half; right is the class of the whole text.
+    """
+    whole = [Counted.of(t) for t in texts]
+    best = [model.names[int(t.scores(model.logs).argmax())] for t in whole]
+    rows, right = [], []
+    for half in (0, 1):
+        other = _model(_grouped(list(zip(best, whole))[half::2]))
+        for t, k in list(zip(texts, best))[1 - half :: 2]:
+            at = 0
+            for size in PIECES:
+                piece = t[at : at + size]
+                at += size
+                if len(piece) == size and k in other.names:
+                    rows.append({n: v for n, v in zip(other.names, Counted.of(piece).scores(other.logs))})
+                    right.append(k)
+    if not rows:
+        return 1.0
+    s = np.array([[r.get(n, -np.inf) for n in model.names] for r in rows])
+    s -= s.max(1, keepdims=True)
+    y = np.array([model.names.index(k) if k in model.names else 0 for k in right])
+    heats = np.geomspace(0.02, 1.0, 30)
+    loss = [-(np.maximum(h * s[np.arange(len(y)), y], -30) - np.log(np.exp(h * s).sum(1))).mean() for h in heats]
+    return float(heats[int(np.argmin(loss))])
+
+
+def _best(model: Languages, text: str) -> str | None:
+    k = int(model.score(text, np.array([max(len(text), 1)]))[0].argmax())
+    return model.names[k] if k < len(model.names) else None
+
+
 @dataclass
 class Passage:
     begin: int
@@ -212,18 +286,41 @@ def _path(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def passages_all(model: Languages, texts: list[str]) -> list[list[Passage]]:
+    """The passages of each text; texts are scored together up to BATCH_CHARS of them."""
+    out: list[list[Passage]] = []
+    held: list[str] = []
+    size = 0
+
+    def flush() -> None:
+        ends = [np.array(_ends(t)) for t in held]
+        out.extend(_passages(model, t, e, s) for t, e, s in zip(held, ends, model.score_all(held, ends)))
+        held.clear()
+
+    for t in texts:
+        if held and size + len(t) > BATCH_CHARS:
+            flush()
+            size = 0
+        held.append(t or "\n")
+        size += len(t)
+    if held:
+        flush()
+    return [p if t else [] for p, t in zip(out, texts)]
+
+
 def passages(model: Languages, text: str) -> list[Passage]:
     """The text as passages of one language each; ``lang`` is None where it is in none. Rows of tables are in none."""
-    if not text:
-        return []
-    ends = _ends(text)
-    s = model.score(text, np.array(ends))
+    return passages_all(model, [text])[0]
+
+
+def _passages(model: Languages, text: str, ends: np.ndarray, s: np.ndarray) -> list[Passage]:
     if "|" in text or "\t" in text or ";" in text or "=" in text or "   " in text:
         at = 0
         for line in text.split("\n"):
             if _is_row(line):
                 a, b = np.searchsorted(ends, [at, at + len(line) - 1], "right")
                 s[a : b + 1] = 0
+                s[a : b + 1, -1] = 1e-6  # in no language, unless what is around it is in one
             at += len(line) + 1
     best = _path(s)
     none = len(model.names)
@@ -232,18 +329,14 @@ def passages(model: Languages, text: str) -> list[Passage]:
     for i in range(len(ends)):
         if i + 1 == len(ends) or best[i + 1] != best[i]:
             k = int(best[i])
-            part = text[begin : ends[i]]
-            tokens = TOKEN.findall(part)
-            name = None if k == none else model.names[k]
+            tokens = TOKEN.findall(text, begin, int(ends[i]))
+            name = None if k == none or not tokens else model.names[k]
             wide = name in _UNSPACED_LANGS
             if not wide and 2 * sum([len(t) > 1 for t in tokens]) < len(tokens):
                 name = None  # letters strewn over signs are no words
-            sums = s[first : i + 1, :none].sum(0)
-            # Nats per character against the runner-up, as a probability.
-            gap = np.sort(sums)[-2:] if none > 1 else np.array([0.0, 1.0])
-            sure = float(1 / (1 + np.exp(-min(30.0, (gap[-1] - gap[0]) / max(len(part), 1) ** 0.5)))) if name else 0.0
-            out.append(Passage(begin, ends[i], name, len(tokens), wide, sure))
-            begin, first = ends[i], i + 1
+            sure = model.sure(s[first : i + 1, :none].sum(0)) if name else 0.0
+            out.append(Passage(begin, int(ends[i]), name, len(tokens), wide, sure))
+            begin, first = int(ends[i]), i + 1
     return out
 
 
@@ -273,15 +366,18 @@ def normal_label(label: str | None, codes: dict[str, str]) -> str | None:
 def _fitted(documents: DataFrame, codes: dict[str, str], per_label: int) -> Languages:
     """``documents`` has doc_id, text, lang, formato."""
     usable = documents.where(F.col("text").isNotNull() & (F.length("text") <= FIT_CHARS) & (F.length("text") >= 80) & ~F.coalesce(F.lower("formato").isin(*RECORD_FORMATS), F.lit(False)))
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect() if normal_label(r[0], codes)}
+    # Copies of one text count once, however many there are.
+    counts = {r[0]: r[1] for r in usable.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"))).collect() if normal_label(r[0], codes)}
     sizes: dict[str, int] = defaultdict(int)
     for k, n in counts.items():
         sizes[normal_label(k, codes)] += n
     if not counts:
         return fit([])
     share = F.create_map(*[F.lit(x) for k in counts for x in (k, min(1.0, per_label / sizes[normal_label(k, codes)]))])
-    drawn = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 31)) < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)) * (1 << 31))
-    rows = sorted((r[0], r[1]) for r in drawn.select("lang", "text").toLocalIterator())
+    drawn = usable.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 31)) < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)) * (1 << 31))
+    # A text under several labels has the one it bears most often.
+    votes = drawn.groupBy("text", "lang").agg(F.count("*").alias("n")).groupBy("text").agg(F.max_by("lang", F.struct("n", "lang")).alias("lang"))
+    rows = sorted((r[0], r[1]) for r in votes.select("lang", "text").toLocalIterator())
     return fit([(normal_label(k, codes), t) for k, t in rows])
 
 
@@ -297,8 +393,8 @@ def _passage_rows(documents: DataFrame, doc_id: str, text: str, lang: str, forma
         def f(c):
             keys = ("doc_id", "etiqueta", "formato", "inicio", "fin", "idioma", "palabras", "ancho", "confianza")
             out: dict[str, list] = {k: [] for k in keys}
-            for d, t, label, form in zip(c["doc_id"], c["text"], c["lang"], c["formato"]):
-                for p in passages(m, t or "") or [Passage(0, 0, None, 0, False, 0.0)]:
+            for d, found_, label, form in zip(c["doc_id"], passages_all(m, [t or "" for t in c["text"]]), c["lang"], c["formato"]):
+                for p in found_ or [Passage(0, 0, None, 0, False, 0.0)]:
                     for k, v in zip(keys, (d, normal_label(label, codes), form, p.begin, p.end, p.lang, p.words, p.wide, p.sure)):
                         out[k].append(v)
             return out

@@ -117,6 +117,32 @@ def test_language_held_out():
         assert language._best(m, t) == k
 
 
+def strewn(words, seed, n=40):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(words.split()) for _ in range(n)).capitalize() + "."
+
+
+RU = "комитет опубликовал годовой отчёт бюро проверило данные станций никто не знает почему протоколу случаев было больше раньше жители попросили помощи центр план список"
+NL = "de gemeente heeft het jaarverslag van de dienst gepubliceerd en het bureau controleerde de gegevens niemand weet waarom maar volgens de notulen waren er meer gevallen dan voorheen bewoners vroegen om hulp"
+
+
+def test_wrong_labels_make_no_language_and_new_ones_do():
+    texts = [("ru", strewn(RU, i)) for i in range(60)] + [("uk", strewn(RU, 100 + i)) for i in range(12)] + [("nl", strewn(NL, i)) for i in range(12)] + [("de", strewn(RU, 200 + i)) for i in range(3)]
+    m = language.fit(texts)
+    assert "uk" not in m.names and "nl" in m.names
+    assert language._best(m, strewn(RU, 999)) == "ru" and language._best(m, strewn(NL, 999)) == "nl"
+    assert 0 < m.heat <= 1
+
+
+def test_texts_scored_together_equal_texts_scored_alone():
+    m = language.fit([])
+    texts = [ES * 3 + EN * 3, "", "x", EN, " \n", "zona\t1\t2\nzona\t3\t4", ES * 2000]
+    together = language.passages_all(m, texts)
+    assert together == [language.passages(m, t) for t in texts]
+    assert together[0][0].lang == "es" and together[0][1].lang == "en" and together[5][0].lang is None and together[1] == []
+    assert sum(p.words for p in together[6]) == len(ES.split()) * 2000
+
+
 # --- 3 quality
 
 
