@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +25,14 @@ SHARE = 2e-4
 MIN_DOCUMENTS = 3
 #: A word is no name if the documents that have it in small letters are at least this share of those that have it with a capital.
 SMALL_SHARE = 0.1
+#: Words joined by full stops without blanks are one abbreviation, as in "e.g.", while they are shorter than this; addresses are longer.
+DOTTED = 40
 
 _WORD = r"[^\W\d_](?:[^\W_]|[̀-ͯ])*"
 _LOWER = re.compile(rf"(?<![^\W_])[^\W\d_](?:[^\W_]|[̀-ͯ])*(?![^\W_])")
 _LETTERS = re.compile(r"(?:[^\W\d_]|[̀-ͯऀ-ॿ])+")
 _END = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[̀-ͯऀ-ॿ])+$")
+_RUN = re.compile(r"[.…]+")
 _TERMINAL = ".!?…。！？．।॥؟۔"
 _FULL = "。！？．।॥"
 _CLOSE = {"»": "«", "”": "“", "」": "「", "』": "『", ")": "(", "）": "（", "]": "[", "】": "【", "》": "《", "›": "‹"}
@@ -71,17 +75,28 @@ def evidence(text: str) -> Evidence:
     return e
 
 
+def _ending(part: str) -> str:
+    """The word at the end of a text; looked for in a window that grows while the word fills it."""
+    size = 16
+    while True:
+        m = _END.search(part[-size:])
+        if not m:
+            return ""
+        if len(m[0]) < size or size >= len(part):
+            return m[0]
+        size *= 4
+
+
 def _stops(text: str) -> Iterator[tuple[str, str, str]]:
-    """(word, blanks, what follows) at every full stop behind a word of at most 12 characters; dotted abbreviations are one word."""
+    """(word, blanks, what follows) at every full stop behind a word; dotted abbreviations are one word, up to DOTTED characters of it."""
     parts = text.split(".")
     before = ""
     for a, b in zip(parts, parts[1:]):
-        m = _END.search(a[-14:])
-        word = m[0] if m else ""
-        if word and before and len(word) == len(a):
+        word = _ending(a)
+        if word and before and len(word) == len(a) and len(before) + len(word) < DOTTED:
             word = f"{before}.{word}"
         before = word
-        if word and len(word) <= 12:
+        if word:
             after = b.lstrip(" \t\u00a0\u202f")
             yield word, b[: len(b) - len(after)] + ("\n" if after[:1] == "\n" else ""), after
 
@@ -241,6 +256,7 @@ def boundaries(text: str, corpus: Lexicon) -> list[int]:
     ends: list[int] = []
     start = 0
     thai = bool(_THAI.search(text))
+    dots = 0  # the end of the last run of full stops
 
     def close(end: int) -> None:
         nonlocal start
@@ -259,27 +275,29 @@ def boundaries(text: str, corpus: Lexicon) -> list[int]:
                 close(at)
             continue
         if c[0] in " \t":
-            if thai and not inside[at] and (_THAI.match(text[at - 1]) or _THAI.match(text[m.end()])) and not text[:at].endswith("ดร."):
+            if thai and not inside[at] and (_THAI.match(text[at - 1]) or _THAI.match(text[m.end()])) and not text.startswith("ดร.", at - 3):
                 close(at)
             continue
         if c in _CLOSE or c in '"“':
             # Behind a closing quotation mark a sentence may end if a terminator stands before it.
             if inside[at] != 1 or not _closes(text, at, inside):
                 continue
-            before = text[start:at].rstrip()
-            if not before or before[-1] not in _TERMINAL or c in ")）]】" and not text[start:].lstrip().startswith(tuple("(（[【")):
+            last = _solid_before(text, at)
+            if last < start or text[last] not in _TERMINAL or c in ")）]】" and text[_solid_from(text, start)] not in "(（[【":
                 continue
             at += 1
         elif c in _TERMINAL:
             if inside[at]:
                 continue
             if c in ".…":
-                run = re.compile(r"[.…]+").match(text, at)
-                if run.end() - at > 3 and "…" not in run[0]:
+                fresh = at >= dots
+                if fresh:
+                    dots = _RUN.match(text, at).end()
+                end = dots
+                if end - at > 3 and text.find("…", at, end) < 0:
                     continue
                 if at and text[at - 1] == "." and c == ".":
                     continue
-                end = run.end()
                 if end - at > 1 or c == "…":
                     if not _begins(text, _skip(text, end), own, corpus, hard, dots=True):
                         continue
@@ -306,6 +324,21 @@ def boundaries(text: str, corpus: Lexicon) -> list[int]:
     return ends
 
 
+def _solid_before(text: str, at: int) -> int:
+    """The place of the last character before ``at`` that is no blank; -1 if there is none."""
+    at -= 1
+    while at >= 0 and text[at].isspace():
+        at -= 1
+    return at
+
+
+def _solid_from(text: str, at: int) -> int:
+    """The place of the first character from ``at`` on that is no blank, or the last place."""
+    while at < len(text) - 1 and text[at].isspace():
+        at += 1
+    return at
+
+
 def _skip(text: str, at: int) -> int:
     """The end of the closing marks behind a terminator, French ones after a blank included."""
     while at < len(text):
@@ -320,36 +353,44 @@ def _skip(text: str, at: int) -> int:
 
 def _enclosed(text: str, hard: set[int]) -> list[int]:
     """For each place, how many quotations and brackets are open there; a mark counts as inside."""
-    depth = [0] * (len(text) + 1)
+    change = [0] * (len(text) + 2)
     stack: list[tuple[str, int]] = []
-    spans: list[tuple[int, int]] = []
+    waiting: Counter[str] = Counter()  # what the stack holds
+
+    def pop() -> tuple[str, int]:
+        top = stack.pop()
+        waiting[top[0]] -= 1
+        return top
+
+    def push(c: str, at: int) -> None:
+        stack.append((c, at))
+        waiting[c] += 1
+
+    def pair(opener: str, at: int) -> None:
+        while stack[-1][0] != opener:
+            pop()
+        change[pop()[1]] += 1
+        change[at + 1] -= 1
+
     for m in re.finditer("[«»“”„\"「」『』()（）\\[\\]【】《》‹›\n]", text):
         c, at = m[0], m.start()
         if c == "\n":
             if at in hard:
                 stack.clear()
+                waiting.clear()
             continue
         if c == '"':
             if stack and stack[-1][0] == '"':
-                spans.append((stack.pop()[1], at))
+                pair('"', at)
             else:
-                stack.append((c, at))
-        elif c == "“" and any(k == "„" for k, _ in stack):
-            while stack and stack[-1][0] != "„":
-                stack.pop()
-            spans.append((stack.pop()[1], at))
+                push(c, at)
+        elif c == "“" and waiting["„"]:
+            pair("„", at)
         elif c in _OPEN:
-            stack.append((c, at))
-        else:
-            want = _CLOSE[c]
-            if any(k == want for k, _ in stack):
-                while stack[-1][0] != want:
-                    stack.pop()
-                spans.append((stack.pop()[1], at))
-    for a, b in spans:
-        for i in range(a, b + 1):
-            depth[i] += 1
-    return depth
+            push(c, at)
+        elif waiting[_CLOSE[c]]:
+            pair(_CLOSE[c], at)
+    return list(accumulate(change[:-1]))
 
 
 def _closes(text: str, at: int, inside: list[int]) -> bool:
@@ -388,9 +429,8 @@ def _stop_ends(text: str, at: int, start: int, own: Evidence, corpus: Lexicon, h
     after = _skip(text, at + 1)
     if after >= len(text):
         return True
-    m = _LAST.search(text, max(start, at - 40), at)
-    before = m[1] if m else ""
-    if before and text[:at].rstrip()[-1:] and _MARKER.match(text[_line_start(text, at) : at + 3]) and not text[_line_start(text, at) : at].strip().strip("(").replace(before, ""):
+    before = _word_before(text, start, at)
+    if before and _opens_line(text, at - len(before), at):
         return False  # the number of a list item
     k = after
     while k < len(text) and text[k].isspace():
@@ -429,8 +469,23 @@ def _stop_ends(text: str, at: int, start: int, own: Evidence, corpus: Lexicon, h
     return False  # an abbreviation in a script without capitals
 
 
-def _line_start(text: str, at: int) -> int:
-    return text.rfind("\n", 0, at) + 1
+def _word_before(text: str, start: int, at: int) -> str:
+    """The word, or the dotted words, right before a place; looked for in a window that grows while the word fills it."""
+    size = 40
+    while True:
+        begin = max(start, at - size)
+        m = _LAST.search(text, begin, at)
+        if m is None or m.start() > begin or begin == start:
+            return m[1] if m else ""
+        size *= 4
+
+
+def _opens_line(text: str, begin: int, at: int) -> bool:
+    """Whether a word and its full stop are the number of an item: nothing but blanks and a bracket stand before them in their line."""
+    line = begin
+    while line > 0 and text[line - 1] != "\n" and (text[line - 1].isspace() or text[line - 1] == "("):
+        line -= 1
+    return (line == 0 or text[line - 1] == "\n") and _MARKER.match(text, line, at + 3) is not None
 
 
 def sentences(texts: DataFrame, corpus: Lexicon, key: str = "doc_id", text: str = "text", kind: str = "bigint") -> DataFrame:

@@ -215,6 +215,24 @@ def test_boundaries(text, want):
     assert [text[a:b].strip() for a, b in zip([0, *ends], ends)] == want
 
 
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    for unit in ("La «frase (larga) dice. ", "a.b.", "uno (dos) \"tres\" y ", "...... x "):
+        took = []
+        for n in (5_000, 40_000):
+            began = time.process_time()
+            sentences.boundaries(unit * n, LEX)
+            took.append(time.process_time() - began)
+        assert took[1] < 40 * took[0] + 1, unit
+
+
+def test_long_words_are_evidence():
+    long = "Verwaltungsgerichtsbarkeitsentsch"
+    assert long in sentences.evidence(f"Das {long}. 12 gilt, das {long}. und mehr.").short
+    assert sentences._word_before("x " + "y" * 100, 0, 102) == "y" * 100
+
+
 def test_sentences(spark):
     d = docs(spark, ODD)
     assert sentences.found(d, spark.createDataFrame([(6, 0), (1, 0), (99, 0), (5, 0)], "doc_id long, lote int")).where("doc_id = 6").count() == 1
