@@ -18,16 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telar.functions.batches import map_rows
-from telar.session import ship
+from telar.llm.filters import bit_filter, bit_of
+from telar.session import store
 
 WORDS = 12  # consecutive words of a leak
 CHARS = 20  # consecutive characters of one where words aren't spaced
-#: Evaluation sides up to this many windows ride along with the code; beyond it the windows meet by a shuffled join.
-CARRIED_WINDOWS = 200_000
+#: The windows of the items are sent to every task if their table is no larger than this; beyond it both sides are shuffled. The rows are the same.
+SENT_BYTES = 32 << 20
 
 _UNSPACED = "฀-໿々-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
 _TOKEN = re.compile(rf"[{_UNSPACED}]|[^\W_{_UNSPACED}]+")
 _BREAK = re.compile(r"(?<=[^\W\d_])[-‐‑¬­][ \t]*\r?\n[ \t]*(?=[^\W\d_])")
+_BEFORE, _BEHIND = re.compile(r"[^\W_]+$"), re.compile(r"[^\W_]+")
 _MARKS = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u2060\ufeff]+")
 _UNITS = frozenset("kg km cm mm mhz ghz hz kw mw gb mb tb ms seg min h usd eur cop brl".split())
 _DIGITS = re.compile(r"\d")
@@ -40,14 +42,25 @@ def plain(text: str) -> str:
     return _MARKS.sub("", unicodedata.normalize("NFKD", text))
 
 
-def readings(text: str) -> list[list[str]]:
-    """The text as tokens in their own spelling; a second reading where words are broken at a line end.
+def readings(text: str, vocabulary: Container[str] = ()) -> list[list[str]]:
+    """The text as tokens in their own spelling; more readings where words are broken at a line end.
 
-    A mark at a line end may break one word or join two: both readings are kept.
+    A mark at a line end may break one word or join two: all of them joined, all apart, and each as the vocabulary has it.
     """
     text = plain(text)
     whole = _BREAK.sub("", text)
-    return [_TOKEN.findall(whole)] + ([_TOKEN.findall(text)] if whole != text else [])
+    out = [_TOKEN.findall(whole)]
+    if whole != text:
+        out.append(_TOKEN.findall(text))
+
+        def known(m: re.Match) -> str:
+            left, right = _BEFORE.search(text, max(0, m.start() - 60), m.start()), _BEHIND.match(text, m.end())
+            return "" if f"{left[0] if left else ''}{right[0] if right else ''}".lower() in vocabulary else m[0]
+
+        mixed = _BREAK.sub(known, text)
+        if mixed != whole and mixed != text:
+            out.append(_TOKEN.findall(mixed))
+    return out
 
 
 def slot(token: str, low: str, vocabulary: Container[str], names: Container[str]) -> str | None:
@@ -63,20 +76,40 @@ def slot(token: str, low: str, vocabulary: Container[str], names: Container[str]
     return None
 
 
-def eval_side(items: list[tuple[int, str]]) -> tuple[frozenset[str], frozenset[str], list[tuple[int, list[str]]]]:
-    """The template vocabulary of the passages, their names, and the tokens of each.
+def _word_rows(passage: str) -> set[tuple[str, str]]:
+    """(word, what it shows): 'word' in any form, 'low' if it stands in small letters, 'name' if with a capital inside a sentence."""
+    out = set()
+    for w in readings(passage)[0]:
+        out.add((w.lower(), "word"))
+        if w == w.lower():
+            out.add((w, "low"))
+    for m in re.finditer(r"(?<=[\w,;:] )([^\W\d_]+)", plain(passage)):
+        if m[1][0].isupper():
+            out.add((m[1].lower(), "name"))
+    return out
+
+
+def eval_words(items: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
+    """The template vocabulary of the passages (column ``passage``), and their names: distinct words of a stated query set.
 
     A token of a passage is a name if it is written with a capital inside a sentence, and never without one.
     """
-    readable = [(i, readings(t)[0], plain(t)) for i, t in items if t]
-    lower = {w for _, ws, _ in readable for w in ws if w == w.lower()}
-    names = set()
-    for _, _, t in readable:
-        for m in re.finditer(r"(?<=[\w,;:] )([^\W\d_]+)", t):
-            if (w := m[1])[0].isupper() and w.lower() not in lower:
-                names.add(w.lower())
-    vocabulary = frozenset(w.lower() for _, ws, _ in readable for w in ws if w.lower() not in names and not _DIGITS.search(w) and w.lower() not in _UNITS)
-    return vocabulary, frozenset(names), [(i, ws) for i, ws, _ in readable]
+
+    def make():
+        def f(c):
+            rows = [r for t in c["passage"] if t for r in _word_rows(t)]
+            return {"word": [r[0] for r in rows], "shows": [r[1] for r in rows]}
+
+        return f
+
+    by = map_rows(items.select("passage"), make, "word string, shows string").groupBy("word").agg(F.bool_or(F.col("shows") == "low").alias("low"), F.bool_or(F.col("shows") == "name").alias("name"), F.bool_or(F.col("shows") == "word").alias("word2"))
+    vocabulary, names = set(), set()
+    for r in by.toLocalIterator():
+        if r["name"] and not r["low"]:
+            names.add(r["word"])
+        elif r["word2"] and not _DIGITS.search(r["word"]) and r["word"] not in _UNITS:
+            vocabulary.add(r["word"])
+    return frozenset(vocabulary), frozenset(names)
 
 
 class Templates:
@@ -146,81 +179,77 @@ def _scan(templates: Templates, texts: list[str]):
     numbers: list[int] = []
     where = []
     for row, text in enumerate(texts):
-        for r, tokens in enumerate(readings(text)):
+        for r, tokens in enumerate(readings(text, templates.vocabulary)):
             where.append((len(numbers), row, r, tokens))
             numbers += templates.numbers(tokens)
             numbers.append(0)
     return *templates.hashes(np.asarray(numbers, np.int64)), where
 
 
-def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "pasaje", carried: int = CARRIED_WINDOWS) -> DataFrame:
-    """(doc_id, item_id, ventanas, reparametrizadas): per document and item, the windows that leaked as they are, and those with other slots.
-
-    Every document is scanned whole, against all windows of all items. Null and empty texts hold no window; passages
-    shorter than a window can't leak; repeated rows of a document count once; null ids are ignored. The items are a
-    stated query set; their windows are carried to the tasks while there are at most ``carried``, and are joined by a
-    shuffle beyond that.
-    """
-    spark = documents.sparkSession
-    ship(spark)
-    src = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    rows = [(r[0], r[1]) for r in items.select(F.col(item_id).cast("bigint"), F.col(passage)).where(F.col(item_id).isNotNull()).distinct().toLocalIterator()]
-    vocabulary, names, passages = eval_side(rows)
-    own = Templates(vocabulary, names)
-    windows = []
-    for i, tokens in passages:
-        low = [t.lower() for t in tokens]
-        for s, n, k in zip(*(x.tolist() for x in own.hashes(np.asarray(own.numbers(tokens), np.int64)))):
-            windows.append((k, i, low[s : s + n]))
-    few = len(windows) <= carried
-    table: dict[int, list] = {}
-    if few:
-        for k, i, w in windows:
-            table.setdefault(k, []).append((i, w))
-    wanted = np.sort(np.asarray(list(table), np.int64))
-    shared = spark.sparkContext.broadcast((vocabulary, names, table, wanted))  # at most ``carried`` windows
+def _windows(texts: DataFrame, shared, first_reading: bool) -> DataFrame:
+    """(id, reading, at, key, words) of the windows of (id, text) that pass the filter, if there is one."""
 
     def make():
-        vocabulary, names, table, wanted = shared.value
+        vocabulary, names, bits = shared.value
         templates = Templates(vocabulary, names)
+        if bits is not None:
+            bits = np.frombuffer(bits, np.uint8)
 
         def f(c):
-            out: dict[str, list] = {"doc_id": [], "item_id": [], "lectura": [], "at": [], "key": [], "words": [], "kind": []}
+            out: dict[str, list] = {"id": [], "reading": [], "at": [], "key": [], "words": []}
             starts, sizes, keys, where = _scan(templates, c["text"])
-            if few:
-                at = np.searchsorted(wanted, keys)
-                hit = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == keys) if len(wanted) else []
+            if bits is not None and len(keys):
+                place = bit_of(keys)
+                hit = np.flatnonzero(bits[place >> 3] >> (place & 7) & 1)
                 starts, sizes, keys = starts[hit], sizes[hit], keys[hit]
             offsets = np.asarray([w[0] for w in where], np.int64)
             for s, n, k, j in zip(starts.tolist(), sizes.tolist(), keys.tolist(), (np.searchsorted(offsets, starts, "right") - 1).tolist()):
                 begin, row, r, tokens = where[j]
-                low = [t.lower() for t in tokens[s - begin : s - begin + n]]
-                for i, w in table.get(k, ()) if few else ((None, None),):
-                    kind = _slots_map(vocabulary, w, low) if few else None
-                    if kind != "other":
-                        for name, v in (("doc_id", c["doc_id"][row]), ("item_id", i), ("lectura", r), ("at", s - begin), ("key", k), ("words", None if few else low), ("kind", kind)):
-                            out[name].append(v)
+                if first_reading and r:
+                    continue
+                for name, v in zip(out, (c["id"][row], r, s - begin, k, [t.lower() for t in tokens[s - begin : s - begin + n]])):
+                    out[name].append(v)
             return out
 
         return f
 
-    met = map_rows(src, make, "doc_id bigint, item_id bigint, lectura int, at int, key bigint, words array<string>, kind string")
-    if not few:
-        theirs = spark.createDataFrame([(k, i, w) for k, i, w in windows], "key bigint, item_id bigint, words2 array<string>")
+    return map_rows(texts, make, "id bigint, reading int, at int, key bigint, words array<string>")
+
 
-        def make_compare():
-            def f(c):
-                return {"doc_id": c["doc_id"], "item_id": c["item_id"], "lectura": c["lectura"], "at": c["at"], "kind": [_slots_map(vocabulary, b, a) for a, b in zip(c["words"], c["words2"])]}
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "pasaje", sent: int = SENT_BYTES) -> DataFrame:
+    """(doc_id, item_id, ventanas, reparametrizadas): per document and item, the windows that leaked as they are, and those with other slots.
 
-            return f
+    Every document is scanned whole, against all windows of all items: windows whose hash passes a filter of fixed size
+    meet the items' windows in a hash join on the hash, and the slots of those that meet are compared. Null and empty
+    texts hold no window; passages shorter than a window can't leak; repeated rows of a document count once; null ids
+    are ignored.
+    """
+    spark = documents.sparkSession
+    src = documents.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL AND text <> ''")
+    asked = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(passage).alias("passage")).where("id IS NOT NULL AND passage IS NOT NULL").distinct()
+    vocabulary, names = eval_words(asked)
+    carry = spark.sparkContext.broadcast
+    theirs = store(_windows(asked.select("id", F.col("passage").alias("text")), carry((vocabulary, names, None)), True), "item-windows")
+    ours = _windows(src, carry((vocabulary, names, bit_filter(theirs.select("key").distinct(), "key"))), False)
+    theirs = theirs.select("key", F.col("id").alias("item_id"), F.col("words").alias("words2")).distinct()
+    # Either side of the join may be the larger one; a hot window is split by the engine's skew join where nothing is sent.
+    small = (theirs.agg(F.sum(F.lit(24) + F.length(F.array_join("words2", "  ")))).first()[0] or 0) <= sent
+    pairs = ours.join(F.broadcast(theirs) if small else theirs.hint("merge"), "key").select(F.col("id").alias("doc_id"), "item_id", "reading", "at", "words", "words2")
+
+    def make():
+        def f(c):
+            same = [_slots_map(vocabulary, b, a) for a, b in zip(c["words"], c["words2"])]
+            keep = [i for i, k in enumerate(same) if k != "other"]
+            return {n: [c[n][i] for i in keep] for n in ("doc_id", "item_id", "reading", "at")} | {"same": [same[i] == "same" for i in keep]}
+
+        return f
 
-        pairs = met.drop("item_id", "kind").join(theirs, "key").select("doc_id", "item_id", "lectura", "at", "words", "words2")
-        met = map_rows(pairs, make_compare, "doc_id bigint, item_id bigint, lectura int, at int, kind string").where("kind <> 'other'")
-    met = met.groupBy("doc_id", "item_id", "lectura", "at").agg(F.max(F.col("kind") == "same").alias("same"))
-    per_reading = met.groupBy("doc_id", "item_id", "lectura").agg(F.count_if("same").cast("int").alias("v"), F.count_if(~F.col("same")).cast("int").alias("r"))
+    met = map_rows(pairs, make, "doc_id bigint, item_id bigint, reading int, at int, same boolean")
+    met = met.groupBy("doc_id", "item_id", "reading", "at").agg(F.max("same").alias("same"))
+    per_reading = met.groupBy("doc_id", "item_id", "reading").agg(F.count_if("same").cast("int").alias("v"), F.count_if(~F.col("same")).cast("int").alias("r"))
     return per_reading.groupBy("doc_id", "item_id").agg(F.max("v").alias("ventanas"), F.max("r").alias("reparametrizadas"))
 
 
-def leaked(documents: DataFrame, items: DataFrame, **names: str) -> DataFrame:
+def leaked(documents: DataFrame, items: DataFrame, **names) -> DataFrame:
     """(doc_id, item_id): the documents that hold a window of an item as it is."""
     return leaks(documents, items, **names).where("ventanas > 0").select("doc_id", "item_id")

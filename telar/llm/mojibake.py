@@ -15,11 +15,11 @@ import unicodedata
 from collections import Counter
 from collections.abc import Container
 
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telar.functions.batches import map_rows
+from telar.llm.filters import bit_filter, bit_of_word
 from telar.llm.lookalike import LOOKS
 from telar.session import store
 
@@ -33,8 +33,6 @@ ODDS = 3
 #: A character counts as known in the corpus from so many documents on, and this share of all. There are at most as many as Unicode has.
 KNOWN_DOCUMENTS = 3
 KNOWN_SHARE = 2e-4
-#: Bits of the filter that tells which words of the documents may be garbled ones: 4 MB, whatever the corpus. The join behind it is exact.
-FILTER_BITS = 1 << 25
 #: Words whose answer of the filter a task remembers.
 REMEMBERED = 200_000
 #: Counts are handed on at so many words, or so many characters of the texts they are from.
@@ -328,21 +326,9 @@ def restorations(counts: DataFrame, learned: DataFrame) -> DataFrame:
     return every.groupBy("word").agg(F.max_by(F.struct("restaurado", "k", "way"), F.struct("m", -F.col("k"), "restaurado", "way")).alias("best")).select("word", "best.restaurado", "best.k", "best.way")
 
 
-def _filter(fixes: DataFrame) -> bytes:
-    """One bit for the hash of each word, of FILTER_BITS."""
-    bit = F.pmod(F.xxhash64("word"), F.lit(FILTER_BITS))
-    place = bit + 1  # Spark counts bits from 1
-    parts = fixes.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    out = bytearray(FILTER_BITS // 8)
-    for r in parts.toLocalIterator():
-        at = (r["part"] - 1) * len(r["bits"])
-        out[at : at + len(r["bits"])] = r["bits"]
-    return bytes(out)
-
-
 def _document_words(src: DataFrame, fixes: DataFrame) -> DataFrame:
     """(doc_id, word, n) of the words of each document that pass the filter, and its number of lost characters under the word ''."""
-    shared = src.sparkSession.sparkContext.broadcast(_filter(fixes))
+    shared = src.sparkSession.sparkContext.broadcast(bit_filter(fixes, "word"))
 
     def make():
         bits = shared.value
@@ -353,7 +339,7 @@ def _document_words(src: DataFrame, fixes: DataFrame) -> DataFrame:
             if hit is None:
                 if len(seen_before) >= REMEMBERED:
                     seen_before.clear()
-                b = xxhash.xxh64_intdigest(w.encode(), 42) % FILTER_BITS  # as Spark hashes; the modulus is a power of two, so the sign doesn't matter
+                b = bit_of_word(w)
                 hit = seen_before[w] = bool(bits[b >> 3] >> (b & 7) & 1)
             return hit
 

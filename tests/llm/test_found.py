@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from telar.llm import encoding, language, leakage, lookalike, mixture, mojibake, quality, repetition, scans, sentences, trees
+from telar.llm import encoding, filters, language, leakage, lookalike, mixture, mojibake, quality, repetition, scans, sentences, trees
 
 DOC = "doc_id long, text string, lang string, formato string, k string, n int, form string, word string"
 ES = "El comité publicó el informe anual y la oficina revisó los datos de las estaciones. "
@@ -336,13 +336,30 @@ def test_leakage(spark):
     rows = [(1, prose(1) + " " + item), (2, " ".join(words[:12]).upper()), (3, " ".join(words[:11])), (4, " ".join(words[3:16]).replace("operadores", "opera-\ndores").replace("amplió", "amplio")), (5, item.replace("Norvik", "Otrik").replace("Zarwen", "Lumen").replace("Kubb", "Dorr").replace("Phlex", "Ombra")), (6, "前" + zh[5:25] + "后"), (7, zh[5:24]), (8, None), (9, ""), (1, prose(1) + " " + item), (10, "、".join(zh[3:24]))]
     d = docs(spark, rows)
     want = {(1, 7), (2, 7), (4, 7), (6, 8), (10, 8)}
-    for carried in (leakage.CARRIED_WINDOWS, 0):
-        r = leakage.leaks(d, items, carried=carried).collect()
+    for sent in (leakage.SENT_BYTES, -1):
+        r = leakage.leaks(d, items, sent=sent).collect()
         assert {(x.doc_id, x.item_id) for x in r if x.ventanas} == want
         assert {x.doc_id for x in r if x.reparametrizadas and not x.ventanas} >= {5}
     assert leakage.leaked(docs(spark, []), items).count() == 0 and leakage.leaked(d, items.limit(0)).count() == 0
 
 
+def test_breaks_are_read_each_on_its_own(spark):
+    item = "el observatorio regional amplió con acierto el plan físico-químico de operadores y citó el anexo"
+    items = spark.createDataFrame([(7, item)], "item_id long, pasaje string")
+    text = item.replace("observatorio", "observa-\ntorio").replace("físico-químico", "físico-\nquímico")
+    assert [(r.doc_id, r.item_id) for r in leakage.leaked(docs(spark, [(1, text), (2, "nada")]), items).collect()] == [(1, 7)]
+
+
+def test_filter_lets_all_through_that_is_in_it(spark):
+    words = [f"señal{i}" for i in range(500)]
+    bits = filters.bit_filter(spark.createDataFrame([(w,) for w in words], "w string"), "w")
+    hit = lambda b: bits[b >> 3] >> (b & 7) & 1
+    assert all(hit(filters.bit_of_word(w)) for w in words) and sum(hit(filters.bit_of_word(f"otra{i}")) for i in range(500)) < 5
+    n = np.array([-(1 << 63), -1, 0, 5, (1 << 63) - 1, 123456789012345], np.int64)
+    bits = filters.bit_filter(spark.createDataFrame([(int(x),) for x in n], "n bigint"), "n")
+    assert all(hit(int(b)) for b in filters.bit_of(n))
+
+
 # --- 10 mojibake
 
 
