@@ -17,12 +17,20 @@ from pyspark.sql import functions as F
 from telar.session import ship, store
 
 # Letters of other alphabets that have the look of a Latin letter, each above the letter it looks like.
-_CYRILLIC = "АВЕЅІЈКМНОРСТУХаеорсухѕіјһԁԛԝёЁїЇ"
-_AS_LATIN = "ABESIJKMHOPCTYXaeopcyxsijhdqwëËïÏ"
-_GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονόϳ"
-_AS_LATIN2 = "ABEZHIKMNOPTYXovój"
+_CYRILLIC = "АВЕЅІЈКМНОРСТУХаеорсухѕіјһԁԛԝёЁїЇѵүҮӏӀԌ"
+_AS_LATIN = "ABESIJKMHOPCTYXaeopcyxsijhdqwëËïÏvyYlIG"
+_GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονόϳρϲϹ"
+_AS_LATIN2 = "ABEZHIKMNOPTYXovójpcC"
+_ARMENIAN, _AS_LATIN3 = "օսհոՕՍԼՏ", "ouhnOULS"
+_CHEROKEE, _AS_LATIN4 = "ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ", "ABCDEGHJKLMPRSTVWZ"
+_PHONETIC, _AS_LATIN5 = "ɡɑ", "ga"
+_LETTERS = _CYRILLIC + _GREEK + _ARMENIAN + _CHEROKEE + _PHONETIC
+_LATIN = _AS_LATIN + _AS_LATIN2 + _AS_LATIN3 + _AS_LATIN4 + _AS_LATIN5
 _HYPHENS = "‐‑﹣"
-LOOKS = str.maketrans(_CYRILLIC + _GREEK, _AS_LATIN + _AS_LATIN2)
+LOOKS = str.maketrans(_LETTERS, _LATIN)
+#: A form with so many documents is hot: its pairs are made in SALTS parts.
+HOT = 500
+SALTS = 32
 
 
 def _compatible() -> tuple[str, str]:
@@ -33,7 +41,8 @@ def _compatible() -> tuple[str, str]:
 
 
 _COMPAT = _compatible()
-_LIGATURES = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFB00, 0xFB07)}
+# What stands for several letters: ligatures, and Roman numerals by their letters. Letters in bold, script or circles differ to a reader.
+_LIGATURES = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xFB00, 0xFB07), *range(0x2160, 0x2180), *range(0xFEF5, 0xFEFD))}
 _INVISIBLE = r"[\p{Cf}\x{00}-\x{08}\x{0E}-\x{1B}\x{7F}-\x{84}\x{86}-\x{9F}\x{034F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{FE00}-\x{FE0F}\x{E0100}-\x{E01EF}]"
 _BLANKS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}\x{2800}\x{3164}\x{FFA0}]+"
 
@@ -45,8 +54,11 @@ def _quoted(s: str) -> str:
 def form_sql(column: str = "text") -> str:
     """The DuckDB expression that brings ``column`` to one form."""
     x = f"nfc_normalize({column})"
-    frm, to = _COMPAT[0] + _CYRILLIC + _GREEK + _HYPHENS, _COMPAT[1] + _AS_LATIN + _AS_LATIN2 + "-" * len(_HYPHENS)
+    frm, to = _COMPAT[0] + _LETTERS + _HYPHENS, _COMPAT[1] + _LATIN + "-" * len(_HYPHENS)
+    frm, to = frm + "".join(a for a, b in _LIGATURES.items() if len(b) == 1), to + "".join(b for b in _LIGATURES.values() if len(b) == 1)
     for a, b in _LIGATURES.items():
+        if len(b) == 1:
+            continue
         x = f"replace({x}, {_quoted(a)}, {_quoted(b)})"
     # Plain Latin-1 text has nothing to map: the tables are built only for rows that need them.
     x = f"CASE WHEN regexp_matches({column}, '[^\\x{{00}}-\\x{{FF}}]') THEN nfc_normalize(regexp_replace(translate({x}, {_quoted(frm)}, {_quoted(to)}), {_quoted(_INVISIBLE)}, '', 'g')) ELSE regexp_replace({column}, {_quoted(_INVISIBLE)}, '', 'g') END"
@@ -76,18 +88,33 @@ def normalised(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return _in_duckdb(src, f"SELECT doc_id, {form_sql()} AS texto FROM part", "doc_id bigint, texto string")
 
 
-def lookalike_pairs(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def lookalike_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, forma, grafia, representante, n): documents whose look is shared by texts of other characters, one row each.
+
+    ``forma`` names the look, ``grafia`` the spelling of the document, ``representante`` the smallest doc_id of that
+    spelling and ``n`` how many documents have it. Null texts and texts without a visible character are in no class; a
+    repeated row counts once. An empty table gives no classes.
+    """
+    src = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    sql = f"SELECT doc_id, md5(f) AS forma, md5(text) AS grafia FROM (SELECT doc_id, text, {form_sql()} AS f FROM part) WHERE f <> ''"
+    hashed = store(_in_duckdb(src, sql, "doc_id bigint, forma string, grafia string").distinct(), "forms")
+    # Only forms of more than one spelling go on; min, max and counts are mergeable, so a form shared by a third of the rows is no burden.
+    mixed = hashed.groupBy("forma").agg(F.min("grafia").alias("x"), F.max("grafia").alias("y")).where("x <> y").select("forma")
+    kept = hashed.join(mixed, "forma", "left_semi")
+    spellings = kept.groupBy("forma", "grafia").agg(F.min("doc_id").alias("representante"), F.count("*").alias("n"))
+    return kept.join(spellings, ["forma", "grafia"]).select("doc_id", "forma", "grafia", "representante", "n")
+
+
+def lookalike_pairs(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """(doc_id_a, doc_id_b), a < b: documents whose texts look the same but are made of different characters.
 
     Identical texts are no pair, nor are null texts and texts without a visible character. A repeated document row
-    counts once. An empty table gives no pairs.
+    counts once. An empty table gives no pairs. Pairs come from the classes; those of a form with many documents are
+    made in parts, so that no task has all of them.
     """
-    src = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    sql = f"SELECT doc_id, md5(f) AS form, md5(text) AS raw FROM (SELECT doc_id, text, {form_sql()} AS f FROM part) WHERE f <> ''"
-    hashed = _in_duckdb(src, sql, "doc_id bigint, form string, raw string").distinct()
-    hashed = store(hashed, "forms")
-    # Only forms of more than one spelling go on; min and max are mergeable, so a form shared by a third of the rows is no burden.
-    mixed = hashed.groupBy("form").agg(F.min("raw").alias("x"), F.max("raw").alias("y")).where("x <> y").select("form")
-    kept = hashed.join(mixed, "form", "left_semi")
-    a, b = kept.select(F.col("doc_id").alias("doc_id_a"), "form", F.col("raw").alias("ra")), kept.select(F.col("doc_id").alias("doc_id_b"), "form", F.col("raw").alias("rb"))
-    return a.join(b, "form").where("doc_id_a < doc_id_b AND ra <> rb").select("doc_id_a", "doc_id_b")
+    classes = store(lookalike_classes(documents, doc_id, text), "classes")
+    size = classes.groupBy("forma").agg(F.count("*").alias("k")).where(F.col("k") >= hot).select("forma", F.lit(SALTS).alias("parts"))
+    members = classes.select("doc_id", "forma", "grafia").join(size, "forma", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    a = members.select(F.col("doc_id").alias("doc_id_a"), "forma", F.col("grafia").alias("ga"), F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part"))
+    b = members.select(F.col("doc_id").alias("doc_id_b"), "forma", F.col("grafia").alias("gb"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return a.join(b, ["forma", "part"]).where("doc_id_a < doc_id_b AND ga <> gb").select("doc_id_a", "doc_id_b")

@@ -89,6 +89,12 @@ def _p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return lookalike_pairs(_t(spark, sf, "documents"))
 
 
+def _p7_classes(spark: SparkSession, sf: str) -> DataFrame:
+    from telar.llm.lookalike import lookalike_classes
+
+    return lookalike_classes(_t(spark, sf, "documents")).select("doc_id", "representante", "n")
+
+
 def _p7_normalised(spark: SparkSession, sf: str) -> DataFrame:
     from telar.llm.lookalike import normalised
 
@@ -140,6 +146,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_noise": _p5_noise,
         "p5_repaired": _p5_repaired,
         "p7_found": _p7_found,
+        "p7_classes": _p7_classes,
         "p7_normalised": _p7_normalised,
         "p8_ids": _p8_ids,
         "p9_found": _p9_found,
@@ -149,11 +156,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
-    from telar.llm.lookalike import form_sql
+# The look of a text, worked out character by character: full-width signs by their distance to ASCII, look-alike letters
+# by a table of their own, ligatures spelled out. It shares nothing with the operator's expression.
+_LOOK = """WITH alike(a, b) AS (SELECT unnest(string_split('А В Е Ѕ І Ј К М Н О Р С Т У Х а е о р с у х ѕ і ј һ ё Ё ї Ї Α Β Ε Ζ Η Ι Κ Μ Ν Ο Ρ Τ Υ Χ ο ν ό ρ ‐ ‑', ' ')), unnest(string_split('A B E S I J K M H O P C T Y X a e o p c y x s i j h ë Ë ï Ï A B E Z H I K M N O P T Y X o v ó p - -', ' '))),
+m AS (SELECT map(list(a), list(b)) AS m FROM alike),
+spelled AS (SELECT doc_id, text, replace(replace(replace(replace(replace(nfc_normalize(text), 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl') AS t FROM documents WHERE text IS NOT NULL),
+chars AS (SELECT doc_id, text, list_transform(string_split(regexp_replace(t, '[\\p{Cf}]', '', 'g'), ''), lambda c: CASE WHEN c <> '' AND unicode(c) BETWEEN 65281 AND 65374 THEN chr(unicode(c) - 65248) ELSE coalesce(m.m[c], c) END) AS cs FROM spelled, m),
+look AS (SELECT doc_id, text, trim(regexp_replace(nfc_normalize(array_to_string(cs, '')), '[\\s\\p{Z}]+', ' ', 'g'), ' ') AS f FROM chars)"""
+
 
-    forms = f"SELECT DISTINCT doc_id, text, {form_sql()} AS f FROM documents WHERE text IS NOT NULL"
+def oracle_sql() -> dict[str, str]:
     return {
-        "p7_normalised": f"SELECT doc_id, {form_sql()} AS texto FROM documents",
-        "p7_found": f"WITH x AS ({forms}) SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM x a JOIN x b ON a.f = b.f AND a.doc_id < b.doc_id AND a.text <> b.text WHERE a.f <> ''",
+        "p7_found": f"{_LOOK} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM look a JOIN look b ON a.f = b.f AND a.doc_id < b.doc_id AND a.text <> b.text WHERE a.f <> ''",
+        "p7_classes": f"{_LOOK}, d AS (SELECT DISTINCT doc_id, text, f FROM look WHERE f <> '') SELECT doc_id, min(doc_id) OVER w AS representante, count(*) OVER w AS n FROM d WHERE f IN (SELECT f FROM d GROUP BY f HAVING count(DISTINCT text) > 1) WINDOW w AS (PARTITION BY f, text)",
     }

@@ -1,6 +1,7 @@
 """Each operator against nulls, empty and very long texts, repeats, empty tables and clashing columns, and against a plain version of itself."""
 
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -299,6 +300,36 @@ def test_lookalike(spark):
     assert n[9] is None and n[8] == "" and n[10] == "" and n[5] == a
 
 
+def test_classes_and_hot_forms(spark):
+    a = "La comisión oficial 12 fin"
+    rows = [(i, a) for i in range(40)] + [(100 + i, "Lа comisión oficial 12 fin") for i in range(30)] + [(500, "otra"), (501, "otra"), (502, None)]
+    d = docs(spark, rows)
+    want = {(i, 100 + j) for i in range(40) for j in range(30)}
+    for hot in (lookalike.HOT, 1):
+        assert {tuple(r) for r in lookalike.lookalike_pairs(d, hot=hot).collect()} == want
+    c = lookalike.lookalike_classes(d).collect()
+    assert len(c) == 70 and {(r.representante, r.n) for r in c} == {(0, 40), (100, 30)} and len({r.forma for r in c}) == 1
+
+
+def plain_form(text):
+    """The form by the Unicode data of Python, character by character."""
+    out = ""
+    for ch in unicodedata.normalize("NFC", text):
+        kind = unicodedata.decomposition(ch).split(" ")[0]
+        name = unicodedata.name(ch, "")
+        if kind in ("<wide>", "<narrow>", "<isolated>", "<initial>", "<medial>", "<final>") or "LIGATURE F" in name or "LIGATURE LONG S" in name or "LIGATURE ST" in name or "ROMAN NUMERAL" in name and kind == "<compat>":
+            ch = unicodedata.normalize("NFKC", ch)
+        out += "" if unicodedata.category(ch[:1] or " ") in ("Cf", "Cc") and ch not in "\t\n\r\x0b\x0c\x85" else ch
+    return " ".join(unicodedata.normalize("NFC", out.translate(lookalike.LOOKS)).split())
+
+
+def test_forms_equal_character_by_character(spark):
+    texts = ["Ａｎｏ　２０２４", "ano\u0301 e\u0301l", "ﬁn ﬂor ﬃ ﬅ", "Ⅷ siglo ⅻ", "ﾊﾝｶｸ", "ﺍﻟﺳﻼﻡ", "a\u200bb\u00adc\ufeff", "a\u00a0b\u2003c", "Ꭺ օ Ѵ ɡ", "x² ① 𝐀", "Москва ρ", "𝒳", "ＡＢ\u0301"]
+    d = docs(spark, list(enumerate(texts)))
+    got = {r.doc_id: r.texto for r in lookalike.normalised(d).collect()}
+    assert {i: got[i] for i in got if plain_form(texts[i]) != got[i]} == {}
+
+
 # --- 8 encoding
 
 
