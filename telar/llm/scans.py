@@ -1,8 +1,9 @@
 """Noise in text from scanned pages (problem 5).
 
-Corrections come from the corpus itself. Rare words of scanned documents meet frequent words of the corpus by an
-inverted join on character q-grams; boosted trees, fitted on frequent words damaged the way scanners damage them, choose
-the replacement. Pairs of lines are classified by trees as well: whether a mark at a line end breaks a word, and
+Corrections come from the corpus itself. Rare words meet frequent words of the corpus by an inverted join on their
+rarest character q-grams, and any word of the corpus by the letters that signs within them may stand for; boosted trees,
+fitted on frequent words damaged the way scanners damage them, choose the replacement, and a word counts as misread if
+they do. Pairs of lines are classified by trees as well: whether a mark at a line end breaks a word, and
 whether a line that comes back is page furniture or text that repeats.
 """
 
@@ -16,10 +17,10 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from telar.functions.batches import map_rows
 from telar.llm import trees
+from telar.llm.filters import bit_filter, bit_of_word
 from telar.session import store
 
 KINDS = ("guion", "caracteres", "cabecera", "pagina")
@@ -30,6 +31,10 @@ LEXICON_SHARE = 3e-4
 LEAST_DOCUMENTS = 4
 #: Words of the lexicon that are damaged to fit the ranking on.
 FIT_WORDS = 1_200
+#: Parts that the words of one q-gram are spread over.
+SALTS = 8
+#: Words whose answer of the filter a task remembers.
+REMEMBERED = 200_000
 Q = 3
 
 MARKS = "-‐‑¬­"
@@ -39,6 +44,7 @@ _BEFORE = re.compile(r"[^\W\d_]+$")
 _WORD = re.compile(r"[\w@|]+")
 _INSIDE = re.compile(r"[^\W\d_][0-9@|]|[0-9@|][^\W\d_]")
 _PLAIN = re.compile(r"[^\W\d_]+$")
+_LETTERS = re.compile(r"[^\W\d_].*[^\W\d_]")
 _WIDE = re.compile("[฀-໿぀-ヿ㐀-鿿]")
 # How scanners misread: what is on the page, and what comes out. Single letters first, then those that merge or split.
 CONFUSED = (("o", "0"), ("l", "1"), ("l", "|"), ("i", "l"), ("i", "1"), ("e", "c"), ("a", "@"), ("s", "5"), ("g", "9"), ("u", "v"), ("t", "f"), ("h", "b"), ("b", "6"), ("ó", "6"), ("é", "6"), ("m", "rn"), ("n", "ri"), ("rn", "m"), ("ri", "n"), ("d", "cl"), ("cl", "d"), ("z", "2"), ("q", "9"))
@@ -93,7 +99,7 @@ def _lexicon_counts(src: DataFrame) -> DataFrame:
 
         def f(c):
             for t in c["text"]:
-                mine = {w for w in set(words_of(rejoined(t) if "\n" in t else t)) if len(w) <= 30 and not _WIDE.search(w)}
+                mine = {w for w in set(words_of(rejoined(t) if "\n" in t else t)) if not _WIDE.search(w)}
                 mine.add("")
                 seen.update(mine)
             return flush() if len(seen) > 150_000 else None
@@ -153,7 +159,7 @@ def fit_furniture() -> trees.Forest:
 
 
 def _number_lines(lines: list[str]) -> list[int]:
-    return [i for i, x in enumerate(lines) if x and x[-1:] and len(x) <= 24 and any(map(str.isdigit, x)) and _PAGE.match(x)]
+    return [i for i, x in enumerate(lines) if x and (len(x) <= 24 or not x[-2:].isalpha()) and any(map(str.isdigit, x)) and _PAGE.match(x)]
 
 
 def furniture(lines: list[str], forest: trees.Forest) -> tuple[list[int], dict[str, list[int]]]:
@@ -162,10 +168,10 @@ def furniture(lines: list[str], forest: trees.Forest) -> tuple[list[int], dict[s
     skip = set(numbers)
     places: dict[str, list[int]] = defaultdict(list)
     for i, x in enumerate(lines):
-        # A word of a script without blanks has few characters.
-        if i not in skip and (len(x) > 5 or len(x) > 2 and _WIDE.search(x)):
+        # Wording of its own: two letters at least.
+        if i not in skip and len(x) > 1:
             s = skeleton(x)
-            if len(s) > 4 or len(s) > 2 and _WIDE.search(s):
+            if len(s) > 1 and _LETTERS.search(s):
                 places[s].append(i)
     rows, keys = [], []
     width = max(map(len, lines))
@@ -249,6 +255,25 @@ def damaged(word: str, rng: random.Random, times: int) -> str:
     return word
 
 
+_MEANT = defaultdict(set)
+for _a, _b in CONFUSED:
+    if len(_a) == len(_b) == 1 and not _b.isalpha():
+        _MEANT[_b].add(_a)
+#: So many confusions may lie between a word and what it is taken for, at the price of one plain edit.
+SIGNS = 5
+
+
+def variants(word: str) -> list[str]:
+    """The words of letters that the signs within a word may stand for; none if a sign stands for no letter, or there are more than SIGNS."""
+    places = [c for c in word if not c.isalpha()]
+    if not places or len(places) > SIGNS or any(c not in _MEANT for c in places):
+        return []
+    out = [""]
+    for c in word:
+        out = [x + y for x in out for y in (sorted(_MEANT[c]) if c in _MEANT else (c,))]
+    return out
+
+
 def fit_ranking(counts: dict[str, int]) -> trees.Forest:
     """Trees that score a correction candidate. Right ones are words of the lexicon damaged here; wrong ones are its other neighbours, and neighbours of words that are right as they are."""
     rng = random.Random(3)
@@ -298,17 +323,29 @@ def fit(counts: DataFrame) -> Models:
     return Models(known, fit_joins(frozenset(known)), fit_furniture(), fit_ranking(known))
 
 
-def structure(src: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, guion, cabecera, pagina, palabras): the documents that show any of these, and their words outside the lexicon with how often they occur.
+def structure(src: DataFrame, models: Models, fixes: DataFrame | None = None) -> DataFrame:
+    """(doc_id, guion, cabecera, pagina, palabras): broken words, furniture and page numbers of the documents, and words of theirs with how often they occur.
 
-    A document without broken words, furniture or page numbers is no scanned page: single odd words in it are left alone.
+    Without ``fixes``, the documents that show any of the three, with their words outside the lexicon. With ``fixes``,
+    also those that hold any of its words alone, with the words that pass its filter.
     """
 
-    shared = src.sparkSession.sparkContext.broadcast((frozenset(models.lexicon), models.joins, models.furniture))  # bounded by LEXICON_SHARE
+    bits = None if fixes is None else bit_filter(fixes, "word")
+    shared = src.sparkSession.sparkContext.broadcast((frozenset(models.lexicon), models.joins, models.furniture, bits))  # bounded by LEXICON_SHARE
 
     def make():
-        lexicon, joins, forest = shared.value
+        lexicon, joins, forest, bits = shared.value
         keys = ("doc_id", "guion", "cabecera", "pagina", "palabras")
+        asked: dict[str, bool] = {}
+
+        def wanted(w: str) -> bool:
+            hit = asked.get(w)
+            if hit is None:
+                if len(asked) >= REMEMBERED:
+                    asked.clear()
+                k = bit_of_word(w)
+                hit = asked[w] = bool(bits[k >> 3] >> (k & 7) & 1)
+            return hit
 
         def f(c):
             out: dict[str, list] = {k: [] for k in keys}
@@ -322,12 +359,15 @@ def structure(src: DataFrame, models: Models) -> DataFrame:
                 broken[i] += p >= 0.5
             for i, t in enumerate(c["text"]):
                 lines = [x.strip() for x in t.split("\n")]
-                numbers, heads = furniture(lines, forest) if len(lines) > 5 else ([], {})
+                numbers, heads = furniture(lines, forest)
                 head = max(map(len, heads.values()), default=0)
-                if broken[i] >= LEAST["guion"] or head or len(numbers) >= LEAST["pagina"]:
-                    skip = {k for at in heads.values() for k in at} | set(numbers)
-                    body = rejoined("\n".join(x for k, x in enumerate(lines) if k not in skip))
-                    odd = Counter(w for w in words_of(body) if w not in lexicon and 2 < len(w) <= 30 and not w.isdigit() and not _WIDE.search(w))
+                shows = broken[i] >= LEAST["guion"] or head or len(numbers) >= LEAST["pagina"]
+                if not shows and bits is None:
+                    continue
+                skip = {k for at in heads.values() for k in at} | set(numbers)
+                body = rejoined("\n".join(x for k, x in enumerate(lines) if k not in skip) if skip else t)
+                odd = Counter(w for w in words_of(body) if w not in lexicon and len(w) > 2 and not w.isdigit() and (bits is None or wanted(w)) and not _WIDE.search(w))
+                if shows or odd or broken[i] or numbers:
                     for k, v in zip(keys, (c["doc_id"][i], broken[i], head, len(numbers), [{"word": w, "n": n} for w, n in odd.items()])):
                         out[k].append(v)
             return out
@@ -338,37 +378,47 @@ def structure(src: DataFrame, models: Models) -> DataFrame:
 
 
 def corrections(odd: DataFrame, counts: DataFrame, models: Models) -> DataFrame:
-    """(word, corregida, puntaje): words of scanned documents and what they are taken for.
+    """(word, corregida, puntaje): words and what they are taken for.
 
-    ``odd`` has the distinct words; they meet the lexicon on shared q-grams, and no pair beyond those is looked at.
+    ``odd`` has the distinct words. They meet the lexicon on q-grams: two misreadings touch at most 2 Q of the grams of
+    a word, and one more where letters merge, so it is enough to look with its rarest 2 Q + 2 grams, which no other
+    word of the corpus shares with many; and they meet all words of the corpus by what their signs may stand for.
     """
     spark = odd.sparkSession
     words = odd.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(1)).alias("n")).where(~F.col("word").rlike(r"^\d+$"))
+    per_gram = Counter(g for w in models.lexicon if len(w) >= 3 for g in grams(w))
     lexicon = spark.createDataFrame([(w, int(n), grams(w)) for w, n in models.lexicon.items() if len(w) >= 3] or [("", 0, [])], "meant string, m bigint, g array<string>").where("m > 0").select("meant", "m", F.explode("g").alias("g"))
+    shared = spark.sparkContext.broadcast((models.ranking, dict(per_gram)))  # bounded as the lexicon is
 
     def make_grams():
+        often = shared.value[1]
+
         def f(c):
-            out: dict[str, list] = {"word": [], "n": [], "k": [], "g": []}
+            out: dict[str, list] = {"word": [], "n": [], "g": [], "meant": []}
             for w, n in zip(c["word"], c["n"]):
                 g = grams(w)
-                # A sign between letters belongs to no word of the lexicon; a gram with one can't be shared.
-                useful = [x for x in g if not re.search(r"[\d@|]", x)]
-                out["word"] += [w] * len(useful)
-                out["n"] += [n] * len(useful)
-                out["k"] += [len(g)] * len(useful)
-                out["g"] += useful
+                least = max(1, len(g) - 2 * Q - 1)
+                rare = sorted(g, key=lambda x: (often.get(x, 0), x))[: len(g) - least + 1]
+                hits = [(x, None) for x in rare if x in often] + [(None, v) for v in variants(w)]
+                out["word"] += [w] * len(hits)
+                out["n"] += [n] * len(hits)
+                out["g"] += [h[0] for h in hits]
+                out["meant"] += [h[1] for h in hits]
             return out
 
         return f
 
-    probes = map_rows(words, make_grams, "word string, n bigint, k int, g string")
-    met = probes.join(lexicon, "g").where(F.abs(F.length("meant") - F.length("word")) <= 2)
-    pairs = met.groupBy("word", "n", "k", "meant", "m").agg(F.count("*").alias("shared"))
-    # Two misreadings touch at most two times Q grams, and one more where letters merge.
-    pairs = pairs.where((F.col("shared") >= F.greatest(F.lit(1), F.col("k") - 2 * Q - 1)) & (F.col("m") > 4 * F.col("n")))
-    ranking = models.ranking
+    probes = store(map_rows(words, make_grams, "word string, n bigint, g string, meant string"), "probes")
+    # A gram that many words look with is hot: its words are spread over SALTS parts, and the lexicon's are there in each.
+    salted = probes.where("g IS NOT NULL").select("word", "n", "g", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int").alias("salt"))
+    near = salted.join(lexicon.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"]).where(F.abs(F.length("meant") - F.length("word")) <= 2)
+    spelled = probes.where("meant IS NOT NULL").select("word", "n", "meant").join(counts.select(F.col("word").alias("meant"), F.col("n").alias("m")), "meant")
+    # A rare word has one document to vouch for it: the misread form may be in as many.
+    pairs = near.select("word", "n", "meant", "m").where(F.col("m") > 4 * F.col("n")).unionByName(spelled.select("word", "n", "meant", "m")).distinct()
 
     def make():
+        ranking = shared.value[0]
+
         def f(c):
             if not c["word"]:
                 return None
@@ -376,7 +426,12 @@ def corrections(odd: DataFrame, counts: DataFrame, models: Models) -> DataFrame:
             for i, (w, meant) in enumerate(zip(c["word"], c["meant"])):
                 if _far(w, meant):
                     continue
-                row = _rank_row(w, meant, c["shared"][i] / c["k"][i], c["n"][i], c["m"][i])
+                own = grams(w)
+                together = len(set(own).intersection(grams(meant)))
+                bare = any(not x.isalpha() for x in w)
+                if not bare and together < max(1, len(own) - 2 * Q - 1):
+                    continue
+                row = _rank_row(w, meant, together / len(own), c["n"][i], c["m"][i])
                 if row[0] <= 1.0:
                     rows.append(row)
                     keep.append(i)
@@ -385,36 +440,44 @@ def corrections(odd: DataFrame, counts: DataFrame, models: Models) -> DataFrame:
 
         return f
 
-    scored = map_rows(pairs.select("word", "n", "k", "meant", "m", "shared"), make, "word string, corregida string, puntaje double, m bigint", rows=4000)
-    best = W.partitionBy("word").orderBy(F.desc("puntaje"), F.desc("m"), "corregida")
-    return scored.where("puntaje >= 0.5").withColumn("r", F.row_number().over(best)).where("r = 1").select("word", "corregida", "puntaje")
+    scored = map_rows(pairs, make, "word string, corregida string, puntaje double, m bigint", rows=4000).where("puntaje >= 0.5")
+    best = scored.groupBy("word").agg(F.max_by(F.struct("corregida", "puntaje"), F.struct("puntaje", "m", "corregida")).alias("best"))
+    return best.select("word", "best.corregida", "best.puntaje")
+
 
+def _prepared(documents: DataFrame, doc_id: str, text: str, scanned_only: bool = False):
+    """Texts, models, what the documents show, and the corrections of their words.
 
-def _prepared(documents: DataFrame, doc_id: str, text: str):
+    A case of ``found`` shows two kinds of noise, and so one beside misread words: with ``scanned_only`` words are looked
+    at in the documents that show another kind. Else those of all documents are, and documents meet the corrections.
+    """
     src = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     counts = store(_lexicon_counts(src), "lexicon")
     models = fit(counts)
-    scanned = store(structure(src, models), "scanned")
-    odd = scanned.select(F.explode("palabras").alias("p")).select("p.word").distinct()
+    if scanned_only:
+        scanned = store(structure(src, models), "scanned")
+        odd = scanned.select(F.explode("palabras").alias("p")).select("p.word").distinct()
+        return src, models, scanned, store(corrections(odd, counts, models), "corrections")
+    known = counts.sparkSession.createDataFrame([(w,) for w in models.lexicon] or [("",)], "word string")
+    odd = counts.where("length(word) > 2").join(known, "word", "left_anti").select("word")
     fixes = store(corrections(odd, counts, models), "corrections")
-    return src, models, scanned, fixes
+    return src, models, store(structure(src, models, fixes), "scanned"), fixes
 
 
 def noise(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, guion, caracteres, cabecera, pagina): how much noise of each kind the documents show that show any.
 
     Words broken at a line end, words with misread characters, pages with a running header, lines with a page number.
-    Null and empty texts show none; null ids are left out; a repeated row counts once. Texts are read whole.
+    Null and empty texts show none; null ids are left out; a repeated row counts once. Texts are read whole. Scripts
+    without blanks have no words to be misread.
     """
     _, _, scanned, fixes = _prepared(documents, doc_id, text)
-    return _noise(scanned, fixes)
+    return _noise(scanned, fixes).where("guion > 0 OR caracteres > 0 OR cabecera > 0 OR pagina > 0")
 
 
 def _noise(scanned: DataFrame, fixes: DataFrame) -> DataFrame:
     words = scanned.select("doc_id", F.explode("palabras").alias("p")).select("doc_id", "p.word", "p.n").distinct()
-    # A sign between letters is a misreading even of a word that the corpus doesn't know.
-    sign = F.col("word").rlike(r"^\p{L}+[0-9@|]+\p{L}+$|^\p{L}{3,}[0-9@|]$|^[@|]\p{L}{2,}|^\p{L}*[@|]\p{L}*$")
-    hit = words.join(fixes.select("word", F.lit(True).alias("fixed")), "word", "left").where(F.col("fixed") | sign)
+    hit = words.join(fixes.select("word"), "word")
     misread = hit.groupBy("doc_id").agg(F.sum("n").cast("int").alias("caracteres"))
     once = scanned.groupBy("doc_id").agg(*[F.max(k).alias(k) for k in ("guion", "cabecera", "pagina")])
     return once.join(misread, "doc_id", "left").select("doc_id", "guion", F.coalesce("caracteres", F.lit(0)).alias("caracteres"), "cabecera", "pagina")
@@ -422,7 +485,8 @@ def _noise(scanned: DataFrame, fixes: DataFrame) -> DataFrame:
 
 def found(documents: DataFrame) -> DataFrame:
     """(doc_id, ruido): the kinds of noise of the documents that show at least two."""
-    n = noise(documents)
+    _, _, scanned, fixes = _prepared(documents, "doc_id", "text", scanned_only=True)
+    n = _noise(scanned, fixes)
     kinds = F.filter(F.array(*[F.when(F.col(k) >= LEAST[k], F.lit(k)) for k in KINDS]), lambda k: k.isNotNull())
     return n.select("doc_id", kinds.alias("kinds")).where(F.size("kinds") >= 2).select("doc_id", F.explode("kinds").alias("ruido"))
 
@@ -430,6 +494,7 @@ def found(documents: DataFrame) -> DataFrame:
 def repaired(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, texto): the documents of ``noise`` as continuous paragraphs: without furniture, with words rejoined and misread words replaced."""
     src, models, scanned, fixes = _prepared(documents, doc_id, text)
+    scanned = scanned.where("guion > 0 OR cabecera > 0 OR pagina > 0 OR size(palabras) > 0")
     words = scanned.select("doc_id", F.explode("palabras").alias("p")).select("doc_id", "p.word").distinct()
     own = words.join(fixes, "word").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "corregida"))).alias("fixes"))
     rows = src.distinct().join(scanned.select("doc_id").distinct(), "doc_id").join(own, "doc_id", "left")
@@ -446,7 +511,7 @@ def repaired(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             for t, fixes in zip(c["text"], c["fixes"]):
                 fixes = dict(fixes or [])
                 lines = [x.strip() for x in t.split("\n")]
-                numbers, heads = furniture(lines, forest) if len(lines) > 5 else ([], {})
+                numbers, heads = furniture(lines, forest)
                 skip = {k for at in heads.values() for k in at} | set(numbers)
                 kept = []
                 for k, x in enumerate(lines):
