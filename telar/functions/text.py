@@ -143,6 +143,32 @@ def repair_shift(line: Column) -> Column:
     return F.when((letters < 12) | fine, best).otherwise(F.when(first["d"] <= 0.09, first["t"]).otherwise(best))
 
 
+def _ascii_vowels(text: Column) -> Column:
+    """Vowels over the letters a to z; null without any."""
+    n = F.length(F.regexp_replace(text, r"[^A-Za-z]", ""))
+    return F.when(n > 0, F.length(F.regexp_replace(text, r"[^AEIOUaeiou]", "")) / n)
+
+
+def broken_map(text: Column) -> Column:
+    """Whether a whole document reads like one whose character map is broken: far fewer vowels than text has."""
+    return F.coalesce(_ascii_vowels(text) < 0.25, F.lit(False))
+
+
+def repair_document(text: Column) -> Column:
+    """``repair_shift`` for the lines of documents whose character map is broken; others stay as they are."""
+    return F.when(broken_map(text), F.array_join(F.transform(F.split(text, "\n"), repair_shift), "\n")).otherwise(text)
+
+
+def blank_unreadable(text: Column) -> Column:
+    """Documents whose character map is broken without the lines that can't be read; others stay as they are."""
+
+    def readable(line: Column) -> Column:
+        letters = F.length(F.regexp_replace(line, r"[^A-Za-z]", ""))
+        return (letters < 12) | (F.abs(_ascii_vowels(line) - 0.39) <= 0.09)
+
+    return F.when(broken_map(text), F.array_join(F.filter(F.split(text, "\n"), readable), "\n")).otherwise(text)
+
+
 def move_closers(text: Column) -> Column:
     """In lines of right-to-left text, closing marks that lead the line go to its end."""
     arabic = r"[\x{0600}-\x{06FF}]"

@@ -25,6 +25,25 @@ def identified(documents: DataFrame, inventory: DataFrame) -> DataFrame:
     return joined.select("fuente", F.col("id").alias("doc_id_oficial"), state.alias("estado"))
 
 
+def inventory_errors(inventory: DataFrame) -> DataFrame:
+    """(problema, clave, n): what makes an inventory no identity: rows without an id ('sin_id'), ids of several paths ('id_repetido'), paths of several rows that differ ('ruta_repetida')."""
+    path = F.concat_ws("/", F.regexp_replace(paths.posix(F.col("carpeta")), "/+$", ""), F.col("nombre_estandarizado"))
+    rows = inventory.select(path.alias("ruta"), F.nullif(F.trim("doc_id_oficial"), F.lit("")).alias("id")).distinct()
+    none = rows.where("id IS NULL").select(F.lit("sin_id").alias("problema"), F.col("ruta").alias("clave"), F.lit(1).cast("bigint").alias("n"))
+    ids = rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("id_repetido").alias("problema"), F.col("id").alias("clave"), "n")
+    where = rows.groupBy("ruta").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("ruta_repetida").alias("problema"), F.col("ruta").alias("clave"), "n")
+    return none.unionByName(ids).unionByName(where)
+
+
+def require_coverage(documents: DataFrame, inventory: DataFrame, only: str | None = None) -> None:
+    """An error if paths of the inventory are not among the documents. A partial run (``only`` one format) is not held to it."""
+    if only is None:
+        absent = missing(inventory_keys(inventory), documents, "fuente")
+        n = absent.count()
+        if n:
+            raise ValueError(f"{n} listed files were not read, such as {[r[0] for r in absent.orderBy('fuente').limit(5).collect()]}")
+
+
 def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """One row (n_left, n_right, n_both, n_left_only, n_right_only) over the distinct non-null keys of two tables."""
     a, b = (x.select(F.col(key).alias("k")).where("k IS NOT NULL").distinct().withColumn(n, F.lit(1)) for x, n in ((left, "l"), (right, "r")))

@@ -135,11 +135,12 @@ def vote(labels: DataFrame) -> DataFrame:
     return total.select("doc_id", "lang", F.round(F.col("peso") / F.col("total"), 6).alias("parte"))
 
 
-def integrity(lines: DataFrame, required: list[str]) -> DataFrame:
-    """One row of checks over the lines of a JSONL file (value): blank ones, those that are no JSON, missing fields, separators inside."""
+def integrity(lines: DataFrame, required: list[str], key: str | None = None) -> DataFrame:
+    """One row of checks over the lines of a JSONL file (value): blank ones, those that are no JSON, missing fields, separators and invisible characters inside, keys that come again."""
     ok = F.try_parse_json("value").isNotNull()
     absent = F.lit(False)
     for k in required:
         absent = absent | F.get_json_object("value", f"$.{k}").isNull()
     blank = F.trim("value") == ""
-    return lines.agg(F.count("*").alias("lineas"), F.count_if(blank).alias("vacias"), F.count_if(~blank & ~ok).alias("no_json"), F.count_if(ok & absent & ~blank).alias("sin_campo"), F.count_if(F.col("value").rlike(r"[\x{2028}\x{2029}]")).alias("separadores"))
+    keys = F.get_json_object("value", f"$.{key}") if key else F.lit(None)
+    return lines.agg(F.count("*").alias("lineas"), F.count_if(blank).alias("vacias"), F.count_if(~blank & ~ok).alias("no_json"), F.count_if(ok & absent & ~blank).alias("sin_campo"), F.count_if(F.col("value").rlike(r"[\x{2028}\x{2029}]")).alias("separadores"), F.count_if(F.col("value").rlike(r"[\p{Cf}]")).alias("invisibles"), (F.count(keys) - F.count_distinct(keys)).alias("repetidos"))

@@ -172,6 +172,27 @@ def norm_check(vectors: DataFrame, tolerance: float = 1e-3) -> DataFrame:
     return vectors.agg(F.count("embedding").alias("n"), F.count_if(F.abs(norm - 1) > tolerance).alias("n_bad"))
 
 
+def index_check(vectors: DataFrame, metadata: DataFrame, size: int, key: str = "vec_id", tolerance: float = 1e-3) -> DataFrame:
+    """One row (n_vectors, n_metadata, n_alone, n_size, n_norm, ok): whether each row of the metadata has one vector of ``size`` numbers and length 1."""
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    v = vectors.select(F.col(key).alias("k"), F.coalesce(F.size("embedding") != size, F.lit(True)).alias("bad"), F.coalesce(F.abs(norm - 1) > tolerance, F.lit(True)).alias("off")).groupBy("k").agg(F.count("*").alias("n"), F.bool_or("bad").alias("bad"), F.bool_or("off").alias("off"))
+    m = metadata.select(F.col(key).alias("k")).groupBy("k").agg(F.count("*").alias("m"))
+    j = v.join(m, v.k.eqNullSafe(m.k), "full")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    out = j.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_vectors"), F.coalesce(F.sum("m"), F.lit(0)).alias("n_metadata"), F.count_if(zero("n") != zero("m")).alias("n_alone"), F.count_if("bad").alias("n_size"), F.count_if("off").alias("n_norm"))
+    return out.withColumn("ok", (F.col("n_vectors") > 0) & (F.col("n_alone") == 0) & (F.col("n_size") == 0) & (F.col("n_norm") == 0))
+
+
+def reencode_check(vectors: DataFrame, rows: DataFrame, key: str, text: str, model, sample: int = 32, least: float = 0.999, seed: int = 7) -> DataFrame:
+    """(key, coseno, ok): the vectors of a sample of rows against those that the model gives now; a table that slipped by one row shows here. The sample is those with the lowest hashes of the key."""
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    chosen = rows.select(key, text, h.alias("_h")).orderBy("_h", key).limit(sample).drop("_h")
+    now = encode(chosen, key, text, model).withColumnRenamed("embedding", "now")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    cos = dot(F.col("embedding"), F.col("now")) / F.sqrt(dot(F.col("embedding"), F.col("embedding")) * dot(F.col("now"), F.col("now")))
+    return now.join(vectors.select(key, "embedding"), key, "left").select(key, F.coalesce(cos, F.lit(0.0)).alias("coseno")).withColumn("ok", F.col("coseno") >= least)
+
+
 def encode(rows: DataFrame, key: str, text: str, model, size: int = 16) -> DataFrame:
     """(key, embedding) by a model that is plugged in: ``model()`` runs once per task and returns a function from texts to unit vectors."""
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from telar import config as C
 from telar.functions import paths, text
-from telar.operators import boilerplate, chunking, graph, ingest, keys, labels, quality, retrieval, tiles
+from telar.operators import boilerplate, chunking, graph, ingest, keys, labels, quality, reports, retrieval, tiles
 from telar.session import store
 from telar.session import table as _t
+from telar.sources import files
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -130,6 +131,45 @@ def duplicate_content(spark, sf):
     return ingest.duplicate_content(_t(spark, sf, "documents"))
 
 
+@query(
+    f"""WITH h AS (SELECT sha1({_NORM}) AS h, fuente, formato, array_to_string(list_slice(string_split(fuente, '/'), 1, 2), '/') AS inst FROM documents WHERE {_NORM} <> ''),
+    g AS (SELECT h, count(*) AS n, arg_min(formato, fuente) AS formato, arg_min(inst, fuente) AS inst FROM h GROUP BY 1 HAVING count(*) > 1),
+    k AS (SELECT 'todos' AS tipo, '' AS valor, n FROM g UNION ALL SELECT 'formato', formato, n FROM g UNION ALL SELECT 'institucion', inst, n FROM g) SELECT tipo, valor, count(*) AS grupos, sum(n - 1)::BIGINT AS sobrantes FROM k GROUP BY 1, 2"""
+)
+def duplicate_report(spark, sf):
+    return reports.copies(_t(spark, sf, "documents"))
+
+
+@query(
+    r"""WITH r AS (SELECT DISTINCT regexp_replace(replace(carpeta, chr(92), '/'), '/+$', '') || '/' || nombre_estandarizado AS ruta, nullif(trim(doc_id_oficial, ' '), '') AS id FROM inventory)
+    SELECT 'sin_id' AS problema, ruta AS clave, 1::BIGINT AS n FROM r WHERE id IS NULL UNION ALL SELECT 'id_repetido', id, count(*) FROM r WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+    UNION ALL SELECT 'ruta_repetida', ruta, count(*) FROM r GROUP BY ruta HAVING count(*) > 1"""
+)
+def inventory_errors(spark, sf):
+    return ingest.inventory_errors(_t(spark, sf, "inventory"))
+
+
+@query("SELECT doc_id, CASE WHEN lang IS NULL OR lang IN ('', 'und') THEN 'und' END AS motivo FROM documents WHERE lang IS NULL OR lang IN ('', 'und')")
+def unlabelled_documents(spark, sf):
+    return reports.unlabelled(_t(spark, sf, "documents"))
+
+
+@query("SELECT doc_id, formato, count(DISTINCT chunk_id) AS n_chunks, count(DISTINCT chunk_id) FILTER (WHERE num_words > 250) AS n_largos, max(num_words)::INT AS mayor FROM chunks GROUP BY 1, 2 HAVING count(DISTINCT chunk_id) FILTER (WHERE num_words > 250) > 0")
+def long_chunks(spark, sf):
+    return reports.long_chunks(_t(spark, sf, "chunks"))
+
+
+@query("SELECT doc_id, n_largos FROM (SELECT doc_id, count(DISTINCT chunk_id) FILTER (WHERE num_words > 250) AS n_largos FROM chunks WHERE doc_id IS NOT NULL GROUP BY 1, formato) WHERE n_largos > 0 ORDER BY n_largos DESC, doc_id LIMIT 10")
+def worst_documents(spark, sf):
+    return reports.top(reports.long_chunks(_t(spark, sf, "chunks").where("doc_id IS NOT NULL")).select("doc_id", "n_largos"), 10, "n_largos", "doc_id")
+
+
+@query("SELECT (SELECT count(*) FROM embeddings) AS n_vectors, (SELECT count(*) FROM embeddings) AS n_metadata, 0::BIGINT AS n_alone, count(*) FILTER (WHERE len(embedding) <> 64) AS n_size, count(*) FILTER (WHERE abs(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) - 1) > 0.001) AS n_norm, count(*) > 0 AND count(*) FILTER (WHERE len(embedding) <> 64 OR abs(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) - 1) > 0.001) = 0 AS ok FROM embeddings")
+def index_check(spark, sf):
+    v = _t(spark, sf, "embeddings")
+    return retrieval.index_check(v, v.select("vec_id", "label"), 64)
+
+
 @query(
     f"""WITH k AS ({_INVENTORY}) SELECT count(*) AS n, count(*) = count(DISTINCT d.doc_id_oficial) AS unique_ids, count(*) = count(DISTINCT d.fuente) AS unique_paths,
     bool_and(coalesce(d.formato IN ('json','pdf','pbf','csv','jpg','xlsx','avif','txt'), false)) AS known_formats, bool_and(coalesce(d.fenomeno BETWEEN 1 AND 3, false)) AS known_topics,
@@ -204,7 +244,8 @@ def alphabet_profile(spark, sf):
 
 @query("SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_path(spark, sf):
-    return _t(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+    v = files.json_values(_t(spark, sf, "events").select("event_id", "props"), "props", "k", "v")
+    return v.select("event_id", F.try_element_at("v", F.lit(1)).try_cast("bigint").alias("k"))
 
 
 @query(
@@ -243,6 +284,12 @@ def tile_summary(spark, sf):
     return tiles.summary(_t(spark, sf, "tile_features"))
 
 
+@query("""WITH p AS (SELECT fid, count(*) AS k FROM tile_features WHERE fid IS NOT NULL GROUP BY 1) SELECT (SELECT count(DISTINCT fuente) FROM tile_features) AS tiles, (SELECT count(*) FROM tile_features) AS features, count(*) AS emitidas,
+    round(100.0::DOUBLE * (sum(k) - count(*)) / sum(k), 4) AS redundancia, min(k) AS minimo, quantile_cont(k, 0.5)::DOUBLE AS mediana, max(k) AS maximo FROM p""")
+def tile_redundancy(spark, sf):
+    return reports.redundancy(_t(spark, sf, "tile_features"))
+
+
 @query("SELECT zoom, count(DISTINCT fuente) AS tiles, count(*) AS features, count(DISTINCT fid) AS unicos FROM tile_features GROUP BY 1")
 def tile_statistics(spark, sf):
     return tiles.statistics(_t(spark, sf, "tile_features"))
@@ -268,26 +315,54 @@ def footer_signatures(spark, sf):
     return boilerplate.footers(boilerplate.paragraphs(_t(spark, sf, "documents")))
 
 
+@query(f"""WITH s AS ({_SIGNED}), f AS (SELECT site, firma FROM s GROUP BY 1, 2 HAVING count(*) FILTER (WHERE last) >= 3 AND count(*) FILTER (WHERE NOT last) = 0)
+    SELECT doc_id, (max(par_no) - coalesce(max(par_no) FILTER (WHERE f.firma IS NULL), -1))::INT AS recortados FROM s LEFT JOIN f ON s.site IS NOT DISTINCT FROM f.site AND s.firma = f.firma AND s.site IS NOT NULL GROUP BY 1 HAVING max(par_no) > coalesce(max(par_no) FILTER (WHERE f.firma IS NULL), -1)""")
 def footers_trimmed(spark, sf):
     return boilerplate.without_footers(boilerplate.paragraphs(_t(spark, sf, "documents")))
 
 
+_WS = r"[ \t\n\x{0B}\f\r]"
+_IS_NUMBER = r"regexp_matches(line, '(?i)^[\s\-–—.|\[(]*(?:(?:page|p[aá]gina|p[aá]g\.?|p\.)\s*)?[0-9]{1,4}(?:\s*(?:/|de|of)\s*[0-9]{1,4})?[\s\-–—.|\])]*$')"
+_ENDS_CLOSED = """'[.!?…:;。！？।؟]["''”»)\\]]*$'"""
+_PAGES = rf"""pg AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM (SELECT doc_id, regexp_split_to_array(text, '\f|\n[ \t]*\n') AS p FROM documents WHERE text IS NOT NULL)),
+    ln AS (SELECT doc_id, i - 1 AS page_no, l, unnest(range(1, len(l) + 1)) AS j FROM (SELECT doc_id, i, string_split(p[i], chr(10)) AS l FROM pg)),
+    lines AS (SELECT doc_id, page_no::INT AS page_no, (j - 1)::INT AS line_no, trim(l[j], ' ') AS line FROM ln WHERE trim(l[j], ' ') <> ''),
+    marked AS (SELECT *, {_IS_NUMBER} AS num, regexp_replace(regexp_replace(line, '{_WS}+', ' ', 'g'), '[0-9]+', '#', 'g') AS forma FROM lines),
+    body AS (SELECT * FROM marked WHERE NOT num QUALIFY row_number() OVER (PARTITION BY doc_id, page_no ORDER BY line_no) <= 8 OR row_number() OVER (PARTITION BY doc_id, page_no ORDER BY line_no DESC) <= 4),
+    forms AS (SELECT doc_id, forma, count(DISTINCT page_no) AS n_pages FROM body GROUP BY 1, 2),
+    rep AS (SELECT doc_id, forma, n_pages FROM forms JOIN (SELECT doc_id, count(DISTINCT page_no) AS pages FROM lines GROUP BY 1) USING (doc_id) WHERE pages >= 2 AND n_pages >= greatest(2, floor(pages * 0.30::DOUBLE)))"""
+
+
+@query(f"WITH {_PAGES} SELECT doc_id, forma, n_pages FROM rep")
 def repeated_page_lines(spark, sf):
     return boilerplate.repeated_lines(boilerplate.pages(_t(spark, sf, "documents")))
 
 
+@query(f"""WITH {_PAGES}, ends AS (SELECT doc_id, page_no, line_no FROM marked QUALIFY row_number() OVER (PARTITION BY doc_id, page_no ORDER BY line_no) <= 8 OR row_number() OVER (PARTITION BY doc_id, page_no ORDER BY line_no DESC) <= 4),
+    gone AS (SELECT b.doc_id, b.page_no, b.line_no FROM body b SEMI JOIN rep USING (doc_id, forma) UNION SELECT m.doc_id, m.page_no, m.line_no FROM marked m SEMI JOIN ends USING (doc_id, page_no, line_no) WHERE m.num),
+    w AS (SELECT m.doc_id, m.page_no, m.line_no, m.line, g.doc_id IS NULL AS stays, len(list_filter(regexp_split_to_array(m.line, '{_WS}+'), lambda x: x <> '')) AS n FROM marked m LEFT JOIN gone g USING (doc_id, page_no, line_no)),
+    d AS (SELECT doc_id, sum(n) AS antes, coalesce(sum(n) FILTER (WHERE stays), 0) AS despues, string_agg(line, chr(10) ORDER BY page_no, line_no) AS t0, coalesce(string_agg(line, chr(10) ORDER BY page_no, line_no) FILTER (WHERE stays), '') AS t1 FROM w GROUP BY 1)
+    SELECT doc_id, antes::BIGINT AS antes, (CASE WHEN antes - despues > 0.40::DOUBLE * antes THEN antes ELSE despues END)::BIGINT AS despues, CASE WHEN antes - despues > 0.40::DOUBLE * antes THEN t0 ELSE t1 END AS texto FROM d""")
 def boilerplate_clean(spark, sf):
     return boilerplate.clean(boilerplate.pages(_t(spark, sf, "documents")))
 
 
+@query(f"WITH {_PAGES}, low AS (SELECT * FROM forms ANTI JOIN rep USING (doc_id, forma) WHERE n_pages >= 2) SELECT DISTINCT low.doc_id, low.forma, low.n_pages FROM low JOIN rep r ON low.doc_id = r.doc_id AND contains(r.forma, low.forma) AND r.forma <> low.forma")
 def surviving_headers(spark, sf):
     return boilerplate.survivors(boilerplate.pages(_t(spark, sf, "documents")))
 
 
+@query(f"""WITH {_PAGES}, pages AS (SELECT doc_id, page_no, arg_min(line, line_no) AS a, arg_max(line, line_no) AS z FROM lines GROUP BY 1, 2),
+    g AS (SELECT doc_id, page_no, CASE WHEN coalesce(NOT regexp_matches(lag(z) OVER w, {_ENDS_CLOSED}) AND regexp_matches(a, '^\\p{{Ll}}'), false) THEN 0 ELSE 1 END AS new FROM pages WINDOW w AS (PARTITION BY doc_id ORDER BY page_no))
+    SELECT doc_id, page_no, (sum(new) OVER (PARTITION BY doc_id ORDER BY page_no))::INT AS grupo FROM g""")
 def joined_pages(spark, sf):
     return boilerplate.joined_pages(boilerplate.pages(_t(spark, sf, "documents")))
 
 
+@query(f"""WITH {_PAGES}, n AS (SELECT *, lag(line) OVER w AS b, lead(line) OVER w AS a FROM lines WINDOW w AS (PARTITION BY doc_id, page_no ORDER BY line_no))
+    SELECT doc_id, page_no, line_no, line FROM n WHERE len(list_filter(regexp_split_to_array(line, '{_WS}+'), lambda x: x <> '')) <= 12 AND NOT regexp_matches(line, {_ENDS_CLOSED})
+    AND (regexp_matches(line, '^\\s*(?:[0-9]+(?:\\.[0-9]+)*[.)]?\\s|[IVXLC]+\\.\\s|[A-Za-z]\\)\\s)') OR regexp_matches(line, '^[\\p{{L}} ]{{2,30}}:\\s*\\S*$') OR upper(line) = line AND regexp_matches(line, '\\p{{Lu}}{{2}}') OR regexp_matches(line, '^\\p{{Lu}}[^.!?]*$'))
+    AND (b IS NULL OR regexp_matches(b, {_ENDS_CLOSED})) AND (a IS NULL OR NOT regexp_matches(a, '^\\p{{Ll}}'))""")
 def isolated_lines(spark, sf):
     return boilerplate.isolated_lines(boilerplate.pages(_t(spark, sf, "documents")))
 
@@ -367,6 +442,11 @@ def open_documents(spark, sf):
     return quality.open_documents(_t(spark, sf, "chunks"))
 
 
+@query(
+    f"""WITH t AS (SELECT trim(texto, ' ') AS t, NOT {_OPEN} AS closed FROM chunks), w AS (SELECT *, regexp_split_to_array(t, '{_WS}+') AS ws FROM t), l AS (SELECT *, list_slice(ws, greatest(1, len(ws) - 14), len(ws)) AS last FROM w)
+    SELECT CASE WHEN closed THEN 'cerrado' WHEN regexp_matches(t, '[\\[(][0-9]{{1,3}}[\\])]$|[¹²³]$') THEN 'nota' WHEN regexp_matches(t, '(^|[^0-9A-Za-z_])(19|20)[0-9]{{2}}$') THEN 'anio'
+    WHEN len(list_filter(last, lambda x: regexp_matches(x, '^[^A-Za-z]*[0-9][0-9.,;:%/-]*$'))) >= 0.4::DOUBLE * len(last) THEN 'numerico' ELSE 'corte' END AS clase, count(*) AS n FROM l GROUP BY 1"""
+)
 def residual_class(spark, sf):
     return quality.residual_classes(_t(spark, sf, "chunks"))
 
@@ -573,7 +653,7 @@ def hourly_events(spark, sf):
     return hourly(_t(spark, sf, "events"))
 
 
-for _f in (joined_pages, isolated_lines, language_rules, footers_trimmed, repeated_page_lines, boilerplate_clean, surviving_headers, chunks_packed, residual_class, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, evidence_sidecar, retrieval_fragments, retrieval_documents, result_check):
+for _f in (language_rules, chunks_packed, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, evidence_sidecar, retrieval_fragments, retrieval_documents, result_check):
     Q[_f.__name__] = _f
 
 

@@ -57,6 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors see: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         base = getattr(shared_dir, "own", None)
         if base is None:
             base = shared_dir.own = tempfile.mkdtemp(prefix="telar-")

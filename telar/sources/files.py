@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-import html
+import fnmatch
 import io
 import json
 import re
@@ -14,16 +14,21 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import ArrayType, StringType
 
 from telar.functions import paths
 from telar.functions.batches import map_rows
+from telar.mappings import CATALOGUE_NAMES, MAPPINGS, NOISE_FIELDS
 
 JUNK = (r"^\.", r"^~\$", r"(?i)^(thumbs\.db|desktop\.ini)$")
 DOCUMENT = "fuente string, formato string, text string, title string, extra map<string,string>, error string"
 
 
-def corpus_files(spark: SparkSession, root: str, excluded: tuple[str, ...] = ()) -> DataFrame:
-    """(fuente, nombre_archivo, formato, bytes, sha256, content): all files below a folder by their path in it, without system junk and excluded names."""
+def corpus_files(spark: SparkSession, root: str, excluded: tuple[str, ...] = (), only: str | None = None) -> DataFrame:
+    """(fuente, nombre_archivo, formato, bytes, sha256, content): all files below a folder by their path in it, without system junk and excluded names.
+
+    With ``only``, those of one format, for a partial run: its files alone are opened.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     base = root.rstrip("/").split("://")[-1].lstrip("/")
     rel = F.regexp_replace(F.regexp_replace("path", r"^[a-z0-9]+:/*", ""), f"^{re.escape(base)}/", "")
@@ -32,7 +37,8 @@ def corpus_files(spark: SparkSession, root: str, excluded: tuple[str, ...] = ())
         f = f.where(~F.col("nombre_archivo").rlike(p))
     if excluded:
         f = f.where(~F.col("nombre_archivo").isin(*excluded))
-    return f.withColumn("formato", paths.format_of(F.col("fuente")))
+    f = f.withColumn("formato", paths.format_of(F.col("fuente")))
+    return f.where(F.col("formato") == only) if only else f
 
 
 def values_at(data: object, path: str) -> list[str]:
@@ -70,6 +76,27 @@ def strings_in(data: object, noise: frozenset[str] = frozenset()) -> list[str]:
     return [t] if t else []
 
 
+def json_values(df: DataFrame, column: str, path: str, alias: str) -> DataFrame:
+    """``df`` with the texts at a path of its JSON column, as an array; a text that is no JSON has none."""
+    fields = [c for c in df.columns if c != column]
+
+    def make():
+        def one(raw: str | None) -> list[str]:
+            try:
+                data = json.loads(raw) if raw else None
+            except ValueError:
+                return []
+            return [v for x in (data if isinstance(data, list) else [data]) for v in values_at(x, path)]
+
+        def f(c):
+            return {k: c[k] for k in fields} | {alias: [one(x) for x in c[column]]}
+
+        return f
+
+    kept = df.select(*fields, column)
+    return map_rows(kept, make, kept.drop(column).schema.add(alias, ArrayType(StringType())))
+
+
 def json_document(raw: str, mapping: dict[str, list[str]], noise: frozenset[str] = frozenset()) -> tuple[str, str | None, dict[str, str]]:
     """(text, title, extra) of a JSON file by a mapping of field paths; without a hit, all its texts."""
     data = json.loads(raw)
@@ -166,26 +193,27 @@ def xlsx_document(raw: bytes) -> tuple[str, dict[str, str]]:
     return "\n".join(out), {"hojas": str(count), "hojas_utiles": "; ".join(useful)}
 
 
-def html_document(raw: str) -> str:
-    t = re.sub(r"(?is)<(script|style)\b.*?</\1>", " ", raw)
-    return re.sub(r"[ \t\xa0]+", " ", html.unescape(re.sub(r"<[^>]+>", " ", t))).strip()
-
-
 def documents(files: DataFrame, mappings: dict[str, dict[str, list[str]]] | None = None, decoders: dict[str, Callable[[bytes], tuple[str, dict[str, str]]]] | None = None) -> DataFrame:
     """Documents (DOCUMENT) of ``corpus_files``: a file that can't be read gives a row with the error and empty text; none is dropped.
 
-    ``mappings`` are field paths by institution (the first two folders); ``decoders`` read the formats that need a
-    library of their own (pdf, jpg, avif).
+    ``mappings`` are field paths by institution (the first two folders), those of ``mappings.MAPPINGS`` if none are
+    given; an institution without one is an error, but for catalogues, which give all their texts without the noise.
+    With an empty mapping every JSON file gives all its texts. ``decoders`` read the formats that need a library of
+    their own (pdf, jpg, avif).
     """
-    mappings, decoders = mappings or {}, decoders or {}
-    src = files.select("fuente", "formato", "content", paths.institution(F.col("fuente")).alias("institucion"))
+    mappings, decoders = MAPPINGS if mappings is None else mappings, decoders or {}
+    src = files.select("fuente", "formato", "content", paths.institution(F.col("fuente")).alias("institucion"), paths.is_catalogue_file(F.col("fuente"), CATALOGUE_NAMES).alias("catalogo"))
 
     def make():
-        def one(form: str | None, raw: bytes, inst: str) -> tuple[str, str | None, dict[str, str]]:
+        def one(form: str | None, raw: bytes, inst: str, catalogue: bool) -> tuple[str, str | None, dict[str, str]]:
             if form in decoders:
                 t, extra = decoders[form](raw)
                 return t, None, extra
             if form == "json":
+                if catalogue:
+                    return json_document(raw.decode("utf-8", "replace"), {}, NOISE_FIELDS)
+                if mappings and inst not in mappings:
+                    raise ValueError(f"no mapping for {inst}")
                 return json_document(raw.decode("utf-8", "replace"), mappings.get(inst, {}))
             if form == "csv":
                 t, extra = csv_document(raw)
@@ -204,9 +232,9 @@ def documents(files: DataFrame, mappings: dict[str, dict[str, list[str]]] | None
 
         def f(c):
             out: dict[str, list] = {k: [] for k in ("fuente", "formato", "text", "title", "extra", "error")}
-            for path, form, raw, inst in zip(c["fuente"], c["formato"], c["content"], c["institucion"]):
+            for path, form, raw, inst, catalogue in zip(c["fuente"], c["formato"], c["content"], c["institucion"], c["catalogo"]):
                 try:
-                    t, title, extra = one(form, bytes(raw), inst)
+                    t, title, extra = one(form, bytes(raw), inst, catalogue)
                     error = None
                 except Exception as e:  # a row of the log, not the end of the run
                     t, title, extra, error = "", None, {}, f"{type(e).__name__}: {e}"[:300]
@@ -225,6 +253,21 @@ def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return lines.select(F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
 
 
+def required(df: DataFrame, *columns: str) -> DataFrame:
+    """``df``, if it has rows and all of these columns, and none of them is null or blank in any row; else an error."""
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        raise ValueError(f"columns missing: {absent}")
+    empty = {c: F.count_if(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "").alias(c) for c in columns}
+    row = df.agg(F.count("*").alias("_rows"), *empty.values()).first()
+    if not row["_rows"]:
+        raise ValueError("no rows")
+    bad = {c: row[c] for c in columns if row[c]}
+    if bad:
+        raise ValueError(f"rows without a value: {bad}")
+    return df
+
+
 QUERY_KEYS = ("texto", "text", "consulta", "pregunta", "query")
 
 
@@ -261,15 +304,25 @@ class _SheetReader(DataSourceReader):
         self.path = path
 
     def partitions(self):
-        import glob
+        from pyarrow import fs
 
-        return [InputPartition(p) for p in sorted(glob.glob(self.path))]
+        where, base = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
+        folder, name = base.rsplit("/", 1) if "/" in base else (".", base)
+        if "*" not in name and where.get_file_info(base).type == fs.FileType.Directory:
+            folder, name = base, "*.xlsx"
+        scheme = self.path.split("://", 1)[0] + "://" if "://" in self.path else ""
+        found = [x.path for x in where.get_file_info(fs.FileSelector(folder)) if x.is_file and fnmatch.fnmatch(x.base_name, name)]
+        return [InputPartition(scheme + p) for p in sorted(found)]
 
     def read(self, partition):
-        with open(partition.value, "rb") as f:
+        from pyarrow import fs
+
+        p = partition.value
+        where, base = fs.FileSystem.from_uri(p) if "://" in p else (fs.LocalFileSystem(), p)
+        with where.open_input_stream(base) as f:
             for name, rows in sheets(f.read()):
                 for i, r in enumerate(rows):
-                    yield (partition.value, name, i, r)
+                    yield (p, name, i, r)
 
 
 class XlsxSource(DataSource):
@@ -287,15 +340,22 @@ class XlsxSource(DataSource):
 
 
 def inventory_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """The inventory from an XLSX file, with the columns of the table ``inventory``; a missing column is an error."""
+    """The inventory from XLSX files, with the columns of the table ``inventory``: the sheets that have its columns, each by its own header; that none has them is an error."""
     from telar.session import ship
 
     ship(spark)
     spark.dataSource.register(XlsxSource)
     rows = spark.read.format("xlsx").load(path)
-    head = [c.strip() for c in rows.where("row_no = 0").first()["cells"]]
     want = {"Carpeta": "carpeta", "Nombre estandarizado": "nombre_estandarizado", "DOC_ID": "doc_id_oficial", "Fenómeno": "fenomeno"}
-    absent = [k for k in want if k not in head]
-    if absent:
-        raise ValueError(f"columns missing: {absent}")
-    return rows.where("row_no > 0").select(*[F.try_element_at("cells", F.lit(head.index(k) + 1)).alias(v) for k, v in want.items()])
+    more = {"Observatorio": "observatorio", "Código observatorio": "codigo_observatorio"}
+    # Each sheet has a header of its own: as many rows as sheets.
+    heads = [(r["path"], r["sheet"], [c.strip() for c in r["cells"]]) for r in rows.where("row_no = 0").select("path", "sheet", "cells").toLocalIterator()]
+    found = sorted(h for h in heads if all(k in h[2] for k in want))
+    if not found:
+        raise ValueError(f"columns missing: {sorted({k for k in want for h in heads if k not in h[2]} or want)}")
+    out = None
+    for at, sheet, head in found:
+        cells = [(F.try_element_at("cells", F.lit(head.index(k) + 1)) if k in head else F.lit(None).cast("string")).alias(v) for k, v in (want | more).items()]
+        part = rows.where((F.col("path") == at) & (F.col("sheet") == sheet) & (F.col("row_no") > 0) & F.exists("cells", lambda x: F.trim(x) != "")).select(*cells)
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -15,6 +15,12 @@ def write_jsonl(df: DataFrame, path: str, *order: str) -> None:
     df.repartitionByRange(*order).sortWithinPartitions(*order).select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value")).write.mode("errorifexists").text(path)
 
 
+def write_triplets(edges: DataFrame, path: str) -> None:
+    """The edges as JSON lines of subject, relation (the first one), object, with what states them."""
+    rows = edges.select(F.col("source").alias("subject"), "relation", F.col("target").alias("object"), "doc_ids", "chunk_ids", "evidence")
+    write_jsonl(rows, path, "subject", "object")
+
+
 def write_graphml(edges: DataFrame, path: str) -> None:
     """A GraphML folder: head, nodes, edges and foot as parts whose names sort; edges keep relation and counts as data."""
     esc = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))

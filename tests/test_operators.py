@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from telar import config as C
 from telar.functions import segment
-from telar.operators import boilerplate, chunking, graph, ingest, labels, quality, retrieval, tiles
+from telar.operators import boilerplate, chunking, graph, ingest, labels, quality, reports, retrieval, tiles
 
 
 def rows(df, *order):
@@ -323,7 +323,7 @@ def test_votes_and_integrity(spark):
     d = spark.createDataFrame([("a", 0, "es", 10), ("a", 1, "en", 10), ("a", 2, "en", 5), ("b", 0, "pt", 3), ("b", 1, "es", 3)], "doc_id string, bloque int, lang string, peso int")
     assert [(x.doc_id, x.lang) for x in quality.vote(d).orderBy("doc_id").collect()] == [("a", "en"), ("b", "pt")]
     lines = spark.createDataFrame([('{"a": 1}',), ("",), ("{no",), ('{"b": "x\u2028y"}',)], "value string")
-    assert rows(quality.integrity(lines, ["a"])) == [(4, 1, 1, 1, 1)]
+    assert rows(quality.integrity(lines, ["a"])) == [(4, 1, 1, 1, 1, 0, 0)]
 
 
 def test_label_rules():
@@ -347,3 +347,52 @@ def test_encoder_plugin(spark):
     d = spark.createDataFrame([(1, "ab"), (2, None)], "id int, t string")
     got = {r.id: r.embedding for r in retrieval.encode(d, "id", "t", lambda: lambda ts: [[float(len(t)), 1.0] for t in ts]).collect()}
     assert got == {1: [2.0, 1.0], 2: [0.0, 1.0]}
+
+
+# --- checks and reports
+
+
+def test_inventory_errors_and_coverage(spark):
+    i = spark.createDataFrame([("a", "x.pdf", "1", None, None), ("a\\", "x.pdf", "1", None, None), ("a", "y.pdf", "1", None, None), ("a", "z.pdf", " ", None, None), ("a", "w.pdf", "2", None, None), ("a", "w.pdf", "3", None, None)], "carpeta string, nombre_estandarizado string, doc_id_oficial string, fenomeno string, codigo_observatorio string")
+    assert rows(ingest.inventory_errors(i)) == [("id_repetido", "1", 2), ("ruta_repetida", "a/w.pdf", 2), ("sin_id", "a/z.pdf", 1)]
+    d = spark.createDataFrame([("a/x.pdf",), ("a/y.pdf",), ("a/w.pdf",)], "fuente string")
+    with pytest.raises(ValueError):
+        ingest.require_coverage(d, i)
+    ingest.require_coverage(d, i, only="csv")
+    ingest.require_coverage(d, i.where("nombre_estandarizado <> 'z.pdf'"))
+
+
+def test_index_checks(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.6, 0.8])], "vec_id long, embedding array<float>")
+    m = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "vec_id long, texto string")
+    assert rows(retrieval.index_check(v, m, 2)) == [(3, 3, 0, 0, 0, True)]
+    bad = v.where("vec_id < 3").unionByName(spark.createDataFrame([(2, [2.0]), (9, None)], "vec_id long, embedding array<float>"))
+    assert rows(retrieval.index_check(bad, m, 2)) == [(4, 3, 3, 2, 2, False)]
+
+    def model():
+        known = {"a": [1.0, 0.0], "b": [0.0, 1.0], "c": [0.6, 0.8]}
+        return lambda texts: [known[t] for t in texts]
+
+    assert all(r.ok for r in retrieval.reencode_check(v, m, "vec_id", "texto", model).collect())
+    slipped = v.selectExpr("vec_id % 3 + 1 AS vec_id", "embedding")
+    assert not any(r.ok for r in retrieval.reencode_check(slipped, m, "vec_id", "texto", model).collect())
+
+
+def test_reports(spark):
+    d = spark.createDataFrame([(1, "x", "1_a/i/p", "pdf"), (2, " x", "1_a/j/q", "csv"), (3, "x", "2_a/i/p", "pdf"), (4, "", "s", "pdf"), (5, None, "t", "pdf")], "doc_id int, text string, fuente string, formato string")
+    assert rows(reports.copies(d)) == [("formato", "pdf", 1, 2), ("institucion", "1_a/i", 1, 2), ("todos", "", 1, 2)]
+    assert rows(reports.top(spark.createDataFrame([("a", 1), ("b", 3), ("c", 3), ("d", None)], "k string, n int"), 2, "n", "k")) == [("b", 3), ("c", 3)]
+    l = spark.createDataFrame([(1, "es", False), (2, "und", False), (3, None, True), (4, "en", True)], "doc_id int, lang string, mix boolean")
+    assert rows(reports.unlabelled(l, mixed="mix")) == [(2, "und"), (3, "und"), (4, "mixto")]
+    f = spark.createDataFrame([("t1", "a"), ("t2", "a"), ("t2", "a"), ("t2", "b"), ("t3", None)], "fuente string, fid string")
+    assert rows(reports.redundancy(f)) == [(3, 5, 2, 50.0, 1, 2.0, 3)]
+    c = spark.createDataFrame([("D", "c1", "pdf", 300), ("D", "c1", "pdf", 300), ("D", "c2", "pdf", 9), ("E", "c3", "csv", 250)], "doc_id string, chunk_id string, formato string, num_words int")
+    assert rows(reports.long_chunks(c)) == [("D", "pdf", 2, 1, 300)]
+    j = spark.createDataFrame([('{"id": "1", "t": "x"}',), ('{"id": "1"}',), ("{",), (" ",), ('{"id": "2", "t": "a\u200b"}',)], "value string")
+    assert rows(quality.integrity(j, ["t"], "id")) == [(5, 1, 1, 1, 0, 1, 1)]
+
+
+def test_stratified_sample_meets_its_quotas(spark):
+    d = spark.createDataFrame([(i, 1 if i < 1000 else 2 if i < 1500 else 3) for i in range(1600)], "k int, s int")
+    got = quality.stratified_sample(d, "k", "s", 32)
+    assert rows(got.groupBy("s").count()) == [("1", 20), ("2", 10), ("3", 2)] and rows(got) == rows(quality.stratified_sample(d.repartition(7), "k", "s", 32))

@@ -4,7 +4,7 @@ import zipfile
 
 import pytest
 
-from telar.sources import files, sinks, tiles
+from telar.sources import files, pages, sinks, tiles
 from telar.streaming import incremental
 
 
@@ -67,13 +67,57 @@ def test_corpus(spark, tmp_path):
     assert d["3_c/k/t.txt"].text == "ñ" and "capa: limites" in d["2_b/tiles/1/2/3.pbf"].text
     assert d["3_c/k/p.pdf"].error and d["3_c/k/p.pdf"].text == ""
     plugged = {r.fuente: r for r in files.documents(f, decoders={"pdf": lambda raw: ("leído", {})}).collect()}
-    assert plugged["3_c/k/p.pdf"].text == "leído"
+    assert plugged["3_c/k/p.pdf"].text == "leído" and "no mapping" in plugged["1_a/i/x.json"].error
+    assert files.documents(f, {}).where("fuente = '1_a/i/x.json'").first().text == "T\nuno\ndos"
+    assert [r.fuente for r in files.corpus_files(spark, str(root), only="csv").collect()] == ["1_a/i/y.csv"]
+
+
+def test_shipped_mappings(spark):
+    alert = {"url": "u", "alerta_meta": {"tipo": "T", "municipios": ["A", "B"], "tema_clave": "K", "codigo": "C1"}, "body_paragraphs": ["p"]}
+    rows = [("F3_Dinamicas_Territoriales/Alertas_Tempranas/a.json", alert), ("F1_IA_y_Capacidades_Estrategicas/CENIA/b.json", {"title": "T", "sections": [{"heading": "H", "paragraphs": ["x", "y"]}], "lists": ["z"]}), ("F3_Dinamicas_Territoriales/SIPRI/sipri_registro.json", {"url": "u", "nombre": "N", "md5": "m", "v": {"path": "p", "t": "hola"}})]
+    f = spark.createDataFrame([(p, "json", bytearray(json.dumps(d).encode())) for p, d in rows], "fuente string, formato string, content binary")
+    got = {r.fuente.split("/")[-1]: r for r in files.documents(f).collect()}
+    assert got["a.json"].text == "T\nA\nB\nK\np" and got["a.json"].title is None and got["a.json"].extra["codigo"] == "C1"
+    assert got["b.json"].text == "T\nH\nx\ny\nz" and got["sipri_registro.json"].text == "N\nhola"
+
+
+def test_pages_by_engines(spark):
+    long = "palabra " * 20
+
+    def broken(raw):
+        raise OSError("no")
+
+    def layer(raw):
+        return [x.decode() for x in raw.split(b"\f")]
+
+    ocr = lambda raw: ["visto " * 30]
+    f = spark.createDataFrame([("a.pdf", "pdf", bytearray(f"{long}\f{long}".encode())), ("b.pdf", "pdf", bytearray(b"x\f")), ("c.jpg", "jpg", bytearray(b"")), ("d.txt", "txt", bytearray(b"t")), ("e.pdf", "pdf", None)], "fuente string, formato string, content binary")
+    got = [(r.fuente, r.page_no, r.lector) for r in pages.document_pages(f, [("uno", broken), ("dos", layer)], ocr).orderBy("fuente", "page_no").collect()]
+    assert got == [("a.pdf", 0, "dos"), ("a.pdf", 1, "dos"), ("b.pdf", 0, "ocr"), ("c.jpg", 0, "ocr"), ("e.pdf", 0, "ocr")]
+    bare = {r.fuente: r for r in pages.document_pages(f, [("uno", broken)]).collect()}
+    assert "uno: no" in bare["a.pdf"].error and "no OCR" in bare["c.jpg"].error
+    assert pages.document_pages(f, [("dos", layer)]).where("fuente = 'b.pdf'").count() == 2
+    assert pages.page_lines(pages.document_pages(f, [("dos", layer)])).where("doc_id = 'a.pdf'").count() == 2
+
+
+def test_required(spark):
+    d = spark.createDataFrame([("a", "x"), ("b", " ")], "doc_id string, texto string")
+    assert files.required(d, "doc_id") is d
+    for bad in ((d, "texto"), (d, "chunk_id"), (d.limit(0), "doc_id")):
+        with pytest.raises(ValueError):
+            files.required(*bad)
 
 
 def test_inventory_sheet(spark, tmp_path):
     p = tmp_path / "inv.xlsx"
     p.write_bytes(xlsx([["Carpeta", "Nombre estandarizado", "DOC_ID", "Fenómeno"], ["a\\b", "x.pdf", "D1", "F2"]]))
-    assert [tuple(r) for r in files.inventory_sheet(spark, str(p)).collect()] == [("a\\b", "x.pdf", "D1", "F2")]
+    assert [tuple(r)[:4] for r in files.inventory_sheet(spark, str(p)).collect()] == [("a\\b", "x.pdf", "D1", "F2")]
+    (tmp_path / "other.xlsx").write_bytes(xlsx([["x", "y"], ["1", "2"]]))
+    (tmp_path / "more.xlsx").write_bytes(xlsx([["DOC_ID", "Fenómeno", "Carpeta", "Observatorio", "Nombre estandarizado"], ["D2", "F1", "c", "O", "y.pdf"], ["", "", "", "", ""]]))
+    both = files.inventory_sheet(spark, str(tmp_path / "*.xlsx")).orderBy("doc_id_oficial").collect()
+    assert [(r.doc_id_oficial, r.carpeta, r.observatorio) for r in both] == [("D1", "a\\b", None), ("D2", "c", "O")]
+    with pytest.raises(ValueError):
+        files.inventory_sheet(spark, str(tmp_path / "other.xlsx"))
 
 
 def test_queries_and_jsonl(spark, tmp_path):

@@ -101,3 +101,15 @@ def test_catalogue_files_and_alerts(spark):
     assert one(spark, "A-1", lambda c: text.alert_title(c, F.lit("Norte"))) == "Alerta A-1 — Norte"
     assert one(spark, " ", lambda c: text.alert_title(c, F.lit("Norte"))) == "Alerta Norte"
     assert one(spark, None, lambda c: text.alert_title(c, F.lit(None).cast("string"))) is None
+
+
+def test_documents_with_a_broken_map(spark):
+    good = "The committee reviewed the plan and published a report on the border."
+    moved = "".join(chr(ord(c) - 29) if 32 + 29 < ord(c) < 127 else c for c in good)
+    broken = "\n".join([moved] * 5 + ["ABC"])
+    healthy = "\n".join([good] * 5 + ["XKCD RFC TCP HTTP SSH NTP BGP"])
+    d = spark.createDataFrame([(1, broken), (2, healthy), (3, ""), (4, None)], "k int, t string")
+    got = {r.k: r for r in d.select("k", text.broken_map(d.t).alias("b"), text.repair_document(d.t).alias("r"), text.blank_unreadable(d.t).alias("x")).collect()}
+    assert got[1].b and not got[2].b and got[2].r == healthy and got[2].x == healthy and got[3].r == "" and got[4].r is None
+    assert "ABC" in got[1].x and moved not in got[1].x
+    assert "ommittee" in got[1].r
