@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from telar.config import FORMATS
+from telar.mappings import CATALOGUE_NAMES
 
 
 def posix(path: Column) -> Column:
@@ -46,7 +47,12 @@ def institution(path: Column) -> Column:
     return F.array_join(F.slice(F.split(posix(path), "/"), 1, 2), "/")
 
 
-def is_catalogue_file(path: Column, names: tuple[str, ...], tile_index: str = "index") -> Column:
+def strict(value: Column, path: Column, what: str) -> Column:
+    """The value, or an error that names the path where there is none."""
+    return F.coalesce(value, F.raise_error(F.concat(F.lit(f"no {what} in "), F.coalesce(path, F.lit("null")))).cast("string"))
+
+
+def is_catalogue_file(path: Column, names: tuple[str, ...] = CATALOGUE_NAMES, tile_index: str = "index") -> Column:
     """Whether a file is a catalogue by a piece of its name; the index of a tile series is none."""
     name = F.lower(F.element_at(F.split(posix(path), "/"), -1))
     hit = F.lit(False)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from telar import config as C
@@ -38,6 +41,84 @@ def by_words(text: str) -> tuple[str, float]:
     return k, n / total
 
 
+@dataclass
+class Profiles:
+    """Log-probabilities of letter triples by language; a labeller to plug in."""
+
+    names: list[str]
+    logs: dict[str, list[float]]
+    rare: list[float]  # of a triple that a language is not known to have
+
+    def __call__(self, text: str) -> tuple[str, float]:
+        """(label, posterior). The triples of a block overlap, so that their evidence is damped."""
+        sums = list(self.rare)
+        n = 0
+        for g, k in triples(text).items():
+            row = self.logs.get(g)
+            if row is not None:
+                n += k
+                for j, v in enumerate(row):
+                    sums[j] += k * v
+        if not n or not self.names:
+            return "und", 0.0
+        top = max(sums)
+        odds = [math.exp(max(-700.0, (s - top) / 4)) for s in sums]
+        best = min(range(len(sums)), key=lambda j: (-sums[j], self.names[j]))
+        return self.names[best], odds[best] / sum(odds)
+
+
+def triples(text: str) -> Counter[str]:
+    """How often each run of three characters occurs, words in small letters with a blank around each; scripts without blanks by single characters as well."""
+    out: Counter[str] = Counter()
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        if "\u0e00" <= w[0] <= "\u0eff" or w[0] >= "\u3000":
+            out.update(w)
+        w = f" {w} "
+        out.update(w[i : i + 3] for i in range(len(w) - 2))
+    return out
+
+
+def trained(documents: DataFrame, lang: str = "lang", per_label: int = 300, most: int = 3_000, least: int = 20) -> Profiles:
+    """A labeller fitted on the labelled documents (text, lang): at most ``per_label`` distinct texts of a label, drawn by their hash, of labels with ``least``.
+
+    Counts are sums over the tasks; of each language the ``most`` frequent triples are kept. A label names the language of
+    its first two letters, so regions and case make no difference; names of languages are labels of their own.
+    """
+    code = F.lower(F.trim(F.col(lang)))
+    code = F.when(code.rlike(r"^[a-z]{2}([-_].*)?$"), F.left(code, F.lit(2))).otherwise(code)
+    rows = documents.select(code.alias("lang"), "text").where("lang IS NOT NULL AND lang NOT IN ('', 'und', 'xx', '-', 'n/a', 'unknown') AND length(trim(text)) >= 80")
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("size")).where(F.col("size") >= least)  # as many rows as labels
+    share = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 31)) < F.lit(float(per_label)) / F.col("size") * (1 << 31)
+    drawn = rows.join(F.broadcast(sizes), "lang").where(share).select("lang", "text").distinct()
+
+    def make():
+        def f(c):
+            out: dict[str, list] = {"lang": [], "g": [], "n": []}
+            for k, t in zip(c["lang"], c["text"]):
+                own = triples(t)
+                out["lang"] += [k] * len(own)
+                out["g"] += own.keys()
+                out["n"] += own.values()
+            return out
+
+        return f
+
+    counts = map_rows(drawn, make, "lang string, g string, n bigint").groupBy("lang", "g").agg(F.sum("n").alias("n"))
+    first = counts.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "g"))).where(F.col("r") <= most)
+    by: dict[str, dict[str, int]] = {}
+    for r in first.toLocalIterator():  # ``most`` rows a label
+        by.setdefault(r["lang"], {})[r["g"]] = r["n"]
+    names = sorted(by)
+    total = {k: sum(v.values()) for k, v in by.items()}
+    logs = {g: [math.log((by[k].get(g, 0) + 0.5) / (total[k] + 0.5 * most)) for k in names] for g in {g for v in by.values() for g in v}}
+    return Profiles(names, logs, [0.0] * len(names))
+
+
+def mixed_report(labelled_: DataFrame) -> DataFrame:
+    """(lang, n, mixtos, indeterminados, parte_media): how many documents of each label are mixed or undetermined, and the mean share of the label's blocks."""
+    return labelled_.groupBy("lang").agg(F.count("*").alias("n"), F.count_if("mixto").alias("mixtos"), F.count_if(F.col("lang") == "und").alias("indeterminados"), F.round(F.avg("parte"), 6).alias("parte_media"))
+
+
 def blocks(text: str, least: int = C.LANGUAGE_BLOCK) -> list[str]:
     """Paragraphs gathered until they hold so many characters."""
     out, held, n = [], [], 0

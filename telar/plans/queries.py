@@ -368,7 +368,12 @@ def isolated_lines(spark, sf):
 
 
 def language_rules(spark, sf):
-    return labels.labelled(_t(spark, sf, "documents"))
+    d = _t(spark, sf, "documents")
+    return labels.labelled(d, labels.trained(d))
+
+
+def mixed_languages(spark, sf):
+    return labels.mixed_report(language_rules(spark, sf))
 
 
 @query(
@@ -653,7 +658,7 @@ def hourly_events(spark, sf):
     return hourly(_t(spark, sf, "events"))
 
 
-for _f in (language_rules, chunks_packed, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, evidence_sidecar, retrieval_fragments, retrieval_documents, result_check):
+for _f in (language_rules, mixed_languages, chunks_packed, entities, triplets, graph_edges, graph_nodes, graph_candidates, document_evidence, evidence_sidecar, retrieval_fragments, retrieval_documents, result_check):
     Q[_f.__name__] = _f
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
-import os
+import platform
 from xml.sax.saxutils import quoteattr
 
+import pyarrow
+import pyspark
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,20 +46,40 @@ def read_graphml(spark: SparkSession, path: str) -> DataFrame:
     return e.select(F.col("_source").alias("source"), F.col("_target").alias("target"), m.alias("data"))
 
 
+def _at(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path (local, or by its URI) and the path in it."""
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def _write(path: str, text: str) -> None:
+    """The file as a whole or not at all: written aside, then moved."""
+    where, p = _at(path)
+    with where.open_output_stream(f"{p}.new") as f:
+        f.write(text.encode())
+    where.move(f"{p}.new", p)
+
+
+def _read(path: str) -> str | None:
+    where, p = _at(path)
+    if where.get_file_info(p).type == fs.FileType.NotFound:
+        return None
+    with where.open_input_stream(p) as f:
+        return f.read().decode()
+
+
 def manifest(path: str, settings: dict, artefacts: DataFrame | None = None, **figures: object) -> dict:
-    """Write settings, figures and the SHA-256 of artefacts (from ``corpus_files``) as one JSON file."""
-    out = {"ajustes": settings, "cifras": figures, "artefactos": {r["fuente"]: r["sha256"] for r in artefacts.select("fuente", "sha256").orderBy("fuente").toLocalIterator()} if artefacts is not None else {}}
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(out, f, ensure_ascii=False, indent=1, sort_keys=True)
+    """Write settings, versions, figures and the SHA-256 of artefacts (from ``corpus_files``; a stated set, such as the parts of an index) as one JSON file."""
+    out = {"versiones": {"python": platform.python_version(), "pyspark": pyspark.__version__, "pyarrow": pyarrow.__version__}, "ajustes": settings, "cifras": figures, "artefactos": {r["fuente"]: r["sha256"] for r in artefacts.select("fuente", "sha256").orderBy("fuente").toLocalIterator()} if artefacts is not None else {}}
+    _write(path, json.dumps(out, ensure_ascii=False, indent=1, sort_keys=True))
     return out
 
 
 def pending(state_file: str, settings: dict, total: int, batch: int) -> int:
     """How many rows of an interrupted run are done, in whole batches. Another configuration than before is refused."""
-    if not os.path.exists(state_file):
+    raw = _read(state_file)
+    if raw is None:
         return 0
-    with open(state_file, encoding="utf-8") as f:
-        state = json.load(f)
+    state = json.loads(raw)
     if state["ajustes"] != settings or state["total"] != total or state["lote"] != batch:
         changed = sorted(k for k in settings.keys() | state["ajustes"].keys() if settings.get(k) != state["ajustes"].get(k))
         raise ValueError(f"the earlier run had other settings: {changed or ['total', 'lote']}")
@@ -65,6 +88,4 @@ def pending(state_file: str, settings: dict, total: int, batch: int) -> int:
 
 def checkpoint(state_file: str, settings: dict, total: int, batch: int, done: int) -> None:
     """Note how far a run has come; written aside and renamed, so that it is whole or not there."""
-    with open(f"{state_file}.new", "w", encoding="utf-8") as f:
-        json.dump({"ajustes": settings, "total": total, "lote": batch, "hechos": done}, f, ensure_ascii=False)
-    os.replace(f"{state_file}.new", state_file)
+    _write(state_file, json.dumps({"ajustes": settings, "total": total, "lote": batch, "hechos": done}, ensure_ascii=False))

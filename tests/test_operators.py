@@ -396,3 +396,20 @@ def test_stratified_sample_meets_its_quotas(spark):
     d = spark.createDataFrame([(i, 1 if i < 1000 else 2 if i < 1500 else 3) for i in range(1600)], "k int, s int")
     got = quality.stratified_sample(d, "k", "s", 32)
     assert rows(got.groupBy("s").count()) == [("1", 20), ("2", 10), ("3", 2)] and rows(got) == rows(quality.stratified_sample(d.repartition(7), "k", "s", 32))
+
+
+def test_trained_labels(spark):
+    words = {"es": "la oficina revisó los datos del plan anual cerca del río según el acta de la mesa técnica", "en": "the office reviewed data of the annual plan near the river according to minutes of the board", "pt": "a secretaria revisou os dados do plano anual perto do rio segundo a ata da mesa técnica não"}
+    rng = random.Random(6)
+    text = lambda k, n=60: " ".join(rng.choice(words[k].split()) for _ in range(n)) + "."
+    d = [(i, text(k), lang, "pdf") for i, (k, lang) in enumerate([(k, [k, k.upper(), k + "-XX", "en"][j % 4] if j % 8 else k) for k in words for j in range(60)])]
+    d += [(900, None, "es", "pdf"), (901, text("es") * 5 + "\n\n" + text("en") * 3, "es", "pdf"), (902, text("es"), "es", "csv"), (903, "corto", "es", "pdf")]
+    df = spark.createDataFrame(d, "doc_id long, text string, lang string, formato string")
+    p = labels.trained(df)
+    assert {"en", "es", "pt"} == set(p.names)
+    assert all(p(text(k))[0] == k and p(text(k))[1] > 0.9 for k in words for _ in range(5)) and p("12 34") == ("und", 0.0)
+    got = {r.doc_id: r for r in labels.labelled(df, p).collect()}
+    assert got[901].mixto and got[901].lang == "es" and got[900].lang == got[902].lang == got[903].lang == "und"
+    report = {r.lang: r for r in labels.mixed_report(labels.labelled(df, p)).collect()}
+    assert report["und"].indeterminados == 3 and report["es"].mixtos == 1
+    assert labels.trained(df.limit(0)).names == []

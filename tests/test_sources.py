@@ -158,6 +158,15 @@ def test_resume(tmp_path):
         sinks.pending(p, {"m": 1}, 10, 5)
 
 
+def test_manifest_and_triplets(spark, tmp_path):
+    got = sinks.manifest(str(tmp_path / "m.json"), {"k": 1}, filas=3)
+    assert json.loads((tmp_path / "m.json").read_text()) == got and got["versiones"]["pyspark"] and got["cifras"] == {"filas": 3}
+    e = spark.createDataFrame([("a", "b", "regula", "regula;opera", "D1;D2", "c", "e")], "source string, target string, relation string, relations string, doc_ids string, chunk_ids string, evidence string")
+    sinks.write_triplets(e, str(tmp_path / "t"))
+    lines = [x for p in (tmp_path / "t").glob("part*") for x in p.read_text().split("\n") if x]
+    assert [json.loads(x)["relation"] for x in lines] == ["regula"]
+
+
 def test_incremental_ingest(spark, tmp_path):
     src, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
     schema = "doc_id bigint, text string, ingerido timestamp"

@@ -113,3 +113,10 @@ def test_documents_with_a_broken_map(spark):
     assert got[1].b and not got[2].b and got[2].r == healthy and got[2].x == healthy and got[3].r == "" and got[4].r is None
     assert "ABC" in got[1].x and moved not in got[1].x
     assert "ommittee" in got[1].r
+
+
+def test_strict_paths(spark):
+    d = spark.createDataFrame([("x/1_a/f.pdf",), ("sin/f.pdf",)], "p string")
+    assert d.where("p LIKE 'x%'").select(paths.strict(paths.topic(d.p).cast("string"), d.p, "topic")).first()[0] == "1"
+    with pytest.raises(Exception, match="no topic in sin"):
+        d.select(paths.strict(paths.topic(d.p).cast("string"), d.p, "topic")).collect()
