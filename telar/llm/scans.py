@@ -31,7 +31,10 @@ LEXICON_SHARE = 3e-4
 LEAST_DOCUMENTS = 4
 #: Words of the lexicon that are damaged to fit the ranking on.
 FIT_WORDS = 1_200
-#: Parts that the words of one q-gram are spread over.
+#: Texts that pages are made of to fit the classifier of furniture on, at most (in expectation).
+FIT_TEXTS = 200
+#: A lexicon of at most so many words is sent to all tasks (some 50 MB with its q-grams); with a larger one, the words of each q-gram are spread over SALTS parts.
+SENT_WORDS = 100_000
 SALTS = 8
 #: Words whose answer of the filter a task remembers.
 REMEMBERED = 200_000
@@ -145,26 +148,98 @@ def fit_joins(lexicon: frozenset[str]) -> trees.Forest:
 
 # --- line pairs: furniture ---------------------------------------------------------------------------------------
 
-_FURNITURE_FEATURES = ("times", "gap", "spread", "cuts", "short")
-_FURNITURE_MONOTONE = [0, 1, -1, 1, 0]
+_FURNITURE_FEATURES = ("times", "gap", "spread", "cuts", "short", "others")
+_FURNITURE_MONOTONE = [0, 1, -1, 1, 0, -1]
 
 
-def fit_furniture() -> trees.Forest:
-    """Trees that tell a running header from lines that repeat for other reasons, fitted on simulated pages and simulated repetition."""
-    rng = np.random.default_rng(9)
-    n = 1_500
-    head = np.column_stack([rng.integers(3, 40, n), rng.uniform(5, 60, n), rng.uniform(0, 0.6, n), rng.uniform(0.35, 1, n), rng.uniform(0.1, 1.0, n)])
-    other = np.column_stack([rng.integers(3, 120, n), np.where(rng.random(n) < 0.7, rng.uniform(1, 4, n), rng.uniform(1, 60, n)), rng.uniform(0, 2.5, n), rng.uniform(0, 0.3, n), rng.uniform(0.1, 1.0, n)])
-    return trees.fit(np.vstack([head, other]), np.repeat([1.0, 0.0], n), _FURNITURE_MONOTONE, trees=25)
+_FILLER = "the office reviewed the plan and published a list of incidents near the river according to minutes while nobody answered before noon"
+
+
+def _wrapped(text: str, width: int) -> list[str]:
+    lines, held = [], ""
+    for w in text.split():
+        if held and len(held) + 1 + len(w) > width:
+            lines.append(held)
+            held = w
+        else:
+            held = f"{held} {w}" if held else w
+    return lines + [held] if held else lines
+
+
+def _pages(lines: list[str], rng: random.Random) -> tuple[list[str], set[str]]:
+    """The lines as pages with running headers, footers or both, which may be damaged and bear the number of the page; and what these say."""
+    words = [w for x in lines for w in x.split() if len(w) > 2 and w[0].isalpha()] or ["informe"]
+
+    def running() -> str:
+        said = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 12)))
+        return rng.choice((said, said.upper(), said.capitalize()))
+
+    head, foot = rng.choice(((True, False), (False, True), (True, True), (True, True)))
+    heads = [running() for _ in range(rng.choice((1, 1, 2)))] if head else []
+    feet = [running()] if foot else []
+    size, number, numbered = rng.randrange(4, 45), rng.randrange(1, 90), rng.random()
+    out = []
+    for k in range(0, len(lines), size):
+        own = [damaged(x, rng, rng.randrange(1, 3)) if rng.random() < 0.3 else x for x in heads + feet]
+        own = [f"{x} {number}" if numbered < 0.3 else x for x in own]
+        out += own[: len(heads)] + lines[k : k + size] + own[len(heads) :] + ([f"- {number} -"] if numbered > 0.6 else []) + ([""] if rng.random() < 0.3 else [])
+        number += 1
+    return out, set(heads + feet)
+
+
+def _refrains(lines: list[str], rng: random.Random) -> list[str]:
+    """The lines with one that comes back as text does: behind a full stop, or in every entry of a list, or all text over again."""
+    line = rng.choice([x for x in lines if len(x) > 1])
+    kind = rng.randrange(3)
+    if kind == 0:
+        line = line.rstrip(".") + "."
+        out = []
+        for x in lines:
+            out.append(x)
+            if x.endswith((".", "!", "?")) and rng.random() < 0.7:
+                out.append(line)
+        return out
+    if kind == 1:
+        size = rng.randrange(1, 4)
+        return [y for k in range(0, len(lines), size) for y in (line.split(" ")[0] + ":", *[x.rstrip(".") + "." for x in lines[k : k + size]])]
+    return lines * 3
+
+
+def fit_furniture(texts: tuple[str, ...] | list[str] = ()) -> trees.Forest:
+    """Trees that tell a running header from lines that repeat for other reasons.
+
+    Fitted on texts of the corpus that repeat no line, wrapped and put on pages with a header here, and on the same
+    texts with lines that come back in other ways; where the corpus has few, on filler.
+    """
+    rng = random.Random(9)
+    texts = list(texts)
+    while len(texts) < 60:
+        texts.append(" ".join(" ".join(rng.choice(_FILLER.split()) for _ in range(rng.randrange(5, 20))).capitalize() + "." for _ in range(rng.randrange(20, 120))))
+    x, y, weight = [], [], []
+    for k, t in enumerate(texts * (1 + 400 // len(texts))):
+        lines = _wrapped(t, rng.randrange(40, 100))
+        if len(lines) < 12 or max(Counter(map(skeleton, lines)).values()) > 1:
+            continue
+        made, heads = _pages(lines, rng) if k % 2 else (_refrains(lines, rng), set())
+        _, rows, keys, _ = _candidates([v.strip() for v in made])
+        # Of pages only the running lines are known for what they are; where text comes back, all of it is.
+        known = set(map(skeleton, heads))
+        told = [row for key, row in zip(keys, rows) if key in known or not k % 2]
+        x += told
+        y += [float(k % 2)] * len(told)
+        weight += [1 / max(len(told), 1)] * len(told)
+    return trees.fit(np.array(x, np.float64).reshape(len(x), len(_FURNITURE_FEATURES)), np.array(y), _FURNITURE_MONOTONE, trees=25, weight=np.array(weight))
 
 
 def _number_lines(lines: list[str]) -> list[int]:
-    return [i for i, x in enumerate(lines) if x and (len(x) <= 24 or not x[-2:].isalpha()) and any(map(str.isdigit, x)) and _PAGE.match(x)]
+    return [i for i, x in enumerate(lines) if x and _PAGE.match(x)]
 
 
-def furniture(lines: list[str], forest: trees.Forest) -> tuple[list[int], dict[str, list[int]]]:
-    """Places of the lines with nothing but a page number, and of running headers and footers by their skeleton."""
+def _candidates(lines: list[str]) -> tuple[list[int], list[list[float]], list[str], dict[str, list[int]]]:
+    """Places of page numbers; and of lines that come back, by their skeleton: what is known of each, and where it stands."""
     numbers = _number_lines(lines)
+    if len(lines) < 5:
+        return numbers, [], [], {}  # three pages with a header hold more lines
     skip = set(numbers)
     places: dict[str, list[int]] = defaultdict(list)
     for i, x in enumerate(lines):
@@ -175,18 +250,26 @@ def furniture(lines: list[str], forest: trees.Forest) -> tuple[list[int], dict[s
                 places[s].append(i)
     rows, keys = [], []
     width = max(map(len, lines))
+    again = sum([len(at) for at in places.values() if len(at) >= 3])
     for s, at in places.items():
         if len(at) < 3:
             continue
         gaps = np.diff(at)
+        own = set(at)
         cuts = 0
         for i in at:
-            before = next((lines[k] for k in range(i - 1, max(-1, i - 4), -1) if lines[k] and k not in skip and skeleton(lines[k]) != s), "")
-            after = next((lines[k] for k in range(i + 1, min(len(lines), i + 4)) if lines[k] and k not in skip and skeleton(lines[k]) != s), "")
+            before = next((lines[k] for k in range(i - 1, max(-1, i - 4), -1) if lines[k] and k not in skip and k not in own), "")
+            after = next((lines[k] for k in range(i + 1, min(len(lines), i + 4)) if lines[k] and k not in skip and k not in own), "")
             # Furniture stands in the middle of sentences, or beside the number of its page.
             cuts += bool(before) and before[-1] not in ".!?…:;|»”" or bool(after) and after[0].islower() or i - 1 in skip or i + 1 in skip or i == 0
-        rows.append([len(at), float(np.median(gaps)), float(np.std(gaps) / max(np.mean(gaps), 1)), cuts / len(at), len(lines[at[0]]) / max(width, 1)])
+        rows.append([len(at), float(np.median(gaps)), float(np.std(gaps) / max(np.mean(gaps), 1)), cuts / len(at), len(lines[at[0]]) / max(width, 1), (again - len(at)) / len(lines)])
         keys.append(s)
+    return numbers, rows, keys, places
+
+
+def furniture(lines: list[str], forest: trees.Forest) -> tuple[list[int], dict[str, list[int]]]:
+    """Places of the lines with nothing but a page number, and of running headers and footers by their skeleton."""
+    numbers, rows, keys, places = _candidates(lines)
     score = forest.score(np.array(rows)) if rows else []
     return numbers, {k: places[k] for k, p in zip(keys, score) if p >= 0.5}
 
@@ -305,7 +388,16 @@ class Models:
     ranking: trees.Forest
 
 
-def fit(counts: DataFrame) -> Models:
+def _fit_texts(src: DataFrame) -> list[str]:
+    """About FIT_TEXTS distinct texts with sentences, drawn by their hash."""
+    usable = src.where((F.length("text") >= 600) & F.col("text").rlike(r"\p{L}[.!?]\s"))
+    size = usable.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0] or 1
+    bound = int(min(1.0, FIT_TEXTS / size) * (1 << 31))
+    drawn = usable.where(F.pmod(F.xxhash64("text", F.lit(13)), F.lit(1 << 31)) < bound).select("text").distinct()
+    return sorted(r[0] for r in drawn.toLocalIterator())
+
+
+def fit(counts: DataFrame, src: DataFrame) -> Models:
     """The lexicon (its size is bounded by LEXICON_SHARE) and the three forests."""
     total = counts.where("word = ''").agg(F.sum("n")).first()[0] or 0
     often = counts.where((F.col("n") >= max(LEAST_DOCUMENTS, LEXICON_SHARE * total)) & F.col("word").rlike(r"^\p{L}[\p{L}\p{M}]+$"))
@@ -320,7 +412,7 @@ def fit(counts: DataFrame) -> Models:
         for w in ws:
             if w != most and lexicon[w] * 25 <= lexicon[most] and misreading_cost(w, most)[0] <= 0.8:
                 del known[w]
-    return Models(known, fit_joins(frozenset(known)), fit_furniture(), fit_ranking(known))
+    return Models(known, fit_joins(frozenset(known)), fit_furniture(_fit_texts(src)), fit_ranking(known))
 
 
 def structure(src: DataFrame, models: Models, fixes: DataFrame | None = None) -> DataFrame:
@@ -386,8 +478,9 @@ def corrections(odd: DataFrame, counts: DataFrame, models: Models) -> DataFrame:
     """
     spark = odd.sparkSession
     words = odd.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(1)).alias("n")).where(~F.col("word").rlike(r"^\d+$"))
-    per_gram = Counter(g for w in models.lexicon if len(w) >= 3 for g in grams(w))
-    lexicon = spark.createDataFrame([(w, int(n), grams(w)) for w, n in models.lexicon.items() if len(w) >= 3] or [("", 0, [])], "meant string, m bigint, g array<string>").where("m > 0").select("meant", "m", F.explode("g").alias("g"))
+    listed = [(w, int(n), grams(w)) for w, n in models.lexicon.items() if len(w) >= 3]
+    per_gram = Counter(g for _, _, gs in listed for g in gs)
+    lexicon = spark.createDataFrame(listed or [("", 0, [])], "meant string, m bigint, g array<string>").where("m > 0").select("meant", "m", F.explode("g").alias("g"))
     shared = spark.sparkContext.broadcast((models.ranking, dict(per_gram)))  # bounded as the lexicon is
 
     def make_grams():
@@ -409,9 +502,14 @@ def corrections(odd: DataFrame, counts: DataFrame, models: Models) -> DataFrame:
         return f
 
     probes = store(map_rows(words, make_grams, "word string, n bigint, g string, meant string"), "probes")
-    # A gram that many words look with is hot: its words are spread over SALTS parts, and the lexicon's are there in each.
-    salted = probes.where("g IS NOT NULL").select("word", "n", "g", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int").alias("salt"))
-    near = salted.join(lexicon.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"]).where(F.abs(F.length("meant") - F.length("word")) <= 2)
+    looking = probes.where("g IS NOT NULL").select("word", "n", "g")
+    if len(listed) <= SENT_WORDS:
+        near = looking.join(F.broadcast(lexicon), "g")
+    else:
+        # A gram that many words look with is hot: its words are spread over SALTS parts, and the lexicon's are there in each.
+        salted = looking.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int"))
+        near = salted.join(lexicon.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"])
+    near = near.where(F.abs(F.length("meant") - F.length("word")) <= 2)
     spelled = probes.where("meant IS NOT NULL").select("word", "n", "meant").join(counts.select(F.col("word").alias("meant"), F.col("n").alias("m")), "meant")
     # A rare word has one document to vouch for it: the misread form may be in as many.
     pairs = near.select("word", "n", "meant", "m").where(F.col("m") > 4 * F.col("n")).unionByName(spelled.select("word", "n", "meant", "m")).distinct()
@@ -453,7 +551,7 @@ def _prepared(documents: DataFrame, doc_id: str, text: str, scanned_only: bool =
     """
     src = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     counts = store(_lexicon_counts(src), "lexicon")
-    models = fit(counts)
+    models = fit(counts, src)
     if scanned_only:
         scanned = store(structure(src, models), "scanned")
         odd = scanned.select(F.explode("palabras").alias("p")).select("p.word").distinct()
