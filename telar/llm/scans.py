@@ -201,7 +201,7 @@ def _refrains(lines: list[str], rng: random.Random) -> list[str]:
         return out
     if kind == 1:
         size = rng.randrange(1, 4)
-        return [y for k in range(0, len(lines), size) for y in (line.split(" ")[0] + ":", *[x.rstrip(".") + "." for x in lines[k : k + size]])]
+        return [y for k in range(0, len(lines), size) for y in (line.split(" ")[0] + ":", *[f"{x[:1].upper()}{x[1:].rstrip('.')}." for x in lines[k : k + size]])]
     return lines * 3
 
 
