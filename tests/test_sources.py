@@ -178,3 +178,14 @@ def test_incremental_ingest(spark, tmp_path):
     run()
     ids = sorted(r.doc_id for r in spark.read.parquet(out).collect())
     assert len(ids) == 3 and 5 in ids and 3 in ids
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from telar import session
+
+    fake = lambda master, folder: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: folder), sparkContext=SimpleNamespace(master=master, applicationId="a"))
+    assert session.shared_dir(fake("yarn", "hdfs://x/c/")) == "hdfs://x/c/telar-a"
+    with pytest.raises(ValueError):
+        session.shared_dir(fake("yarn", None))
