@@ -216,13 +216,13 @@ def _windows(texts: DataFrame, shared, first_reading: bool) -> DataFrame:
     return map_rows(texts, make, "id bigint, reading int, at int, key bigint, words array<string>")
 
 
-def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "pasaje", sent: int = SENT_BYTES) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "pasaje", sent: int = SENT_BYTES, reworded: bool = True) -> DataFrame:
     """(doc_id, item_id, ventanas, reparametrizadas): per document and item, the windows that leaked as they are, and those with other slots.
 
     Every document is scanned whole, against all windows of all items: windows whose hash passes a filter of fixed size
     meet the items' windows in a hash join on the hash, and the slots of those that meet are compared. Null and empty
     texts hold no window; passages shorter than a window can't leak; repeated rows of a document count once; null ids
-    are ignored.
+    are ignored. Without ``reworded`` only windows as they are count, which needs no look at their slots.
     """
     spark = documents.sparkSession
     src = documents.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL AND text <> ''")
@@ -244,7 +244,10 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
         return f
 
-    met = map_rows(pairs, make, "doc_id bigint, item_id bigint, reading int, at int, same boolean")
+    if reworded:
+        met = map_rows(pairs, make, "doc_id bigint, item_id bigint, reading int, at int, same boolean")
+    else:
+        met = pairs.where("words = words2").select("doc_id", "item_id", "reading", "at", F.lit(True).alias("same"))
     met = met.groupBy("doc_id", "item_id", "reading", "at").agg(F.max("same").alias("same"))
     per_reading = met.groupBy("doc_id", "item_id", "reading").agg(F.count_if("same").cast("int").alias("v"), F.count_if(~F.col("same")).cast("int").alias("r"))
     return per_reading.groupBy("doc_id", "item_id").agg(F.max("v").alias("ventanas"), F.max("r").alias("reparametrizadas"))
@@ -252,4 +255,4 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
 def leaked(documents: DataFrame, items: DataFrame, **names) -> DataFrame:
     """(doc_id, item_id): the documents that hold a window of an item as it is."""
-    return leaks(documents, items, **names).where("ventanas > 0").select("doc_id", "item_id")
+    return leaks(documents, items, reworded=False, **names).where("ventanas > 0").select("doc_id", "item_id")
