@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,60 @@ class Mixture:
         return p / p.sum(1, keepdims=True)
 
 
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Per component the weight of the rows and the sums of their squares and values (standardised); the log likelihood is the last row's first."""
+        z = self.standard(x)
+        inv = 1 / self.variances
+        y = np.hstack([z * z, z])
+        p = y @ np.hstack([-0.5 * inv, self.centres * inv]).T
+        p += np.log(self.weights) - 0.5 * ((self.centres**2 * inv).sum(1) + np.log(self.variances).sum(1) + z.shape[1] * np.log(2 * np.pi))
+        top = p.max(1, keepdims=True)
+        p -= top
+        # Far below any rounding, but numbers so small that they are slow to reckon with don't come up.
+        np.maximum(p, -100.0, out=p)
+        np.exp(p, out=p)
+        total = p.sum(1, keepdims=True)
+        p /= total
+        out = np.zeros((len(self.weights) + 1, 1 + y.shape[1]))
+        out[:-1, 0] = p.sum(0)
+        out[:-1, 1:] = p.T @ y
+        out[-1, 0] = (top + np.log(total)).sum()
+        return out
+
+
+def begin(mean: np.ndarray, scale: np.ndarray, centres: np.ndarray) -> Mixture:
+    """Equal components at the given centres (standardised)."""
+    k = len(centres)
+    return Mixture(mean, scale, np.full(k, 1 / k), centres.copy(), np.full(centres.shape, 0.5))
+
+
+def apart(z: np.ndarray, most: int) -> np.ndarray:
+    """At most so many of the rows, each as far as can be from those before it."""
+    chosen = [0]
+    far = ((z - z[0]) ** 2).sum(1)
+    while len(chosen) < most and far.max() > 0:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, ((z - z[chosen[-1]]) ** 2).sum(1))
+    return z[chosen]
+
+
+def climb(m: Mixture, rounds: int, total: Callable[[Mixture], np.ndarray]) -> Mixture:
+    """Expectation maximisation until the likelihood stays; ``total`` gives the sums over all rows under a mixture."""
+    before = -np.inf
+    width = m.centres.shape[1]
+    for _ in range(rounds):
+        got = total(m)
+        size = got[:-1, 0] + 1e-6
+        now = float(got[-1, 0] / got[:-1, 0].sum())
+        m.weights = size / size.sum()
+        m.centres = got[:-1, 1 + width :] / size[:, None]
+        m.variances = np.maximum(got[:-1, 1 : 1 + width] / size[:, None] - m.centres**2, FLOOR)
+        if now - before < 1e-5:
+            break
+        before = now
+    return m
+
+
 def fit(x: np.ndarray, components: int, rounds: int, seed: int = 7) -> Mixture:
     """Components start at rows far from each other (k-means++ with a fixed seed); rows must be in a fixed order."""
     x = np.asarray(x, np.float64)
@@ -46,20 +101,4 @@ def fit(x: np.ndarray, components: int, rounds: int, seed: int = 7) -> Mixture:
     while len(chosen) < components:
         chosen.append(int(rng.choice(len(z), p=far / far.sum())))
         far = np.minimum(far, ((z - z[chosen[-1]]) ** 2).sum(1))
-    m = Mixture(mean, scale, np.full(components, 1 / components), z[chosen].copy(), np.full((components, z.shape[1]), 0.5))
-    before = -np.inf
-    for _ in range(rounds):
-        p = m.log_parts(x)
-        top = p.max(1, keepdims=True)
-        e = np.exp(p - top)
-        total = e.sum(1, keepdims=True)
-        r = e / total
-        now = float((top + np.log(total)).mean())
-        size = r.sum(0) + 1e-6
-        m.weights = size / size.sum()
-        m.centres = r.T @ z / size[:, None]
-        m.variances = np.maximum(r.T @ z**2 / size[:, None] - m.centres**2, FLOOR)
-        if now - before < 1e-5:
-            break
-        before = now
-    return m
+    return climb(begin(mean, scale, z[chosen]), rounds, lambda m: m.sums(x))

@@ -1,10 +1,10 @@
 """Text statistics that tell prose from lists, tables and junk (problem 3).
 
 A text is cut where the shape of its lines changes. The statistics of the parts are standardised, and a Gaussian
-mixture is fitted by expectation maximisation to those of a bounded sample, whose common words belong to the model; the
-statistics that are given out count as common the words that are so in all texts. Inspected examples give each component its
-class; every part of every text then takes the class of most of its probability, and the text that of most of its
-characters.
+mixture is fitted by expectation maximisation to those of all parts: each round sums over them in Spark and moves the
+components on the driver. Inspected examples are where the components begin, and give each its class; every part of every
+text then takes the class of most of its probability, and the text that of most of its characters. Words are counted over all
+texts.
 """
 
 from __future__ import annotations
@@ -12,6 +12,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
+from dataclasses import replace
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -19,24 +22,31 @@ from pyspark.sql import functions as F
 
 from telar.functions.batches import map_rows
 from telar.llm import mixture
-from telar.llm.chars import FIRST_UNSPACED, TOKEN, UNSPACED
+from telar.llm.chars import FIRST_UNSPACED, TOKEN, is_wide
+from telar.session import drop, store
 
 CLASSES = ("prosa", "lista", "tabla", "basura")
-#: Chunks to fit the mixture on, at most (in expectation: rows are chosen by the hash of their id).
+#: To the mixture a word is common if two in so many of all distinct texts hold it.
 SAMPLE = 10_000
 COMPONENTS = 40
 ROUNDS = 60
-#: Word forms that count as common: those in most of all distinct texts (of the sample, for the model). So many are gathered at most.
+#: Word forms that count as common: those in most of all distinct texts. So many are gathered at most.
 COMMON = 20_000
+#: Texts whose vectors lie in one partition while the mixture is fitted, in expectation.
+PACK = 50_000
+#: Tasks that sum over the vectors, at most: the driver gets 14 KB from each.
+TASKS = 1000
+#: Sums of a block are rounded to this, so that their order can't tell.
+GRAIN = 2.0**-20
 
 _ITEM = re.compile(r"(?:[-–—•▪◦·‣*●○■]|\(?\d{1,3}[.)]|\d{1,3} [-–]|[(]?[a-zа-я][.)]|[(]?[A-ZА-Я]\)|[ivx]{1,5}[.)])\s+\S")
 _LEADER = re.compile(r"(?:\.{4,}|…{2,}|(?: \.){4,}|_{4,})\s*\d+\s*$")
 _PAIR = re.compile(r"[^\W\d_][\w ]{0,25}(?:=|: )")
 _GAP = re.compile(r"\S(?: {2,}|\t+)(?=\S)")
-_STOP = re.compile(r"[.!?।؟](?=[\s\"'”»)\]]|$)|[。！？]|…")
+_STOP = re.compile(r"[.!?।؟。！？…](?:(?<=[。！？…])|(?=[\s\"'”»)\]]|$))")
 _CODES = re.compile(r"/g\d+|\(cid:\d+\)|\b(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{12,}\b|[�□▯◇■◆▢]")
+_BOXES = "�□▯◇■◆▢"
 _VOWELS = re.compile(r"[aeiouyáéíóúàèìòùâêîôûãõäëïöüæœåø]")
-_WIDE = re.compile(f"[{UNSPACED}]")
 _ENDS = tuple(".!?。！？।؟…:”»\"’)）」")
 
 STATS = (
@@ -44,6 +54,18 @@ STATS = (
 )
 
 
+def _paired(line: str) -> bool:
+    """Two names at least, each with a value after it."""
+    return line.count("=") + line.count(": ") >= 2 and len(_PAIR.findall(line)) >= 2
+
+
+@lru_cache(maxsize=100_000)
+def _mute(word: str) -> int:
+    """The length of a word with hardly a vowel, 0 for others."""
+    v = len(_VOWELS.findall(word))
+    return len(word) if v == 0 or len(word) > 6 and 5 * v < len(word) else 0
+
+
 def statistics(text: str, common: frozenset[str]) -> list[float]:
     """The statistics of one text, in the order of STATS; shares are of characters in lines unless said otherwise."""
     return _statistics(text, common)[0]
@@ -57,8 +79,9 @@ def _statistics(text: str, *commons: frozenset[str]) -> list[list[float]]:
         return [[0.0] * len(STATS) for _ in commons]
     low = text.lower()
     tokens = TOKEN.findall(low)
+    counts = Counter(tokens)
     n = len(tokens)
-    wide = len(_WIDE.findall(low)) if max(low) >= FIRST_UNSPACED else 0
+    wide = sum([k for w, k in counts.items() if is_wide(w)]) if max(counts, default="") >= FIRST_UNSPACED else 0
     # An unspaced word is taken as two characters.
     words = max(n - wide / 2, 1)
     letters = sum(map(len, tokens))
@@ -77,8 +100,7 @@ def _statistics(text: str, *commons: frozenset[str]) -> list[list[float]]:
         s = line.count("; ")
         if s >= 2 and s >= line.count(". "):
             semis += size
-        p = len(_PAIR.findall(line)) if "=" in line or ": " in line else 0
-        if p >= 2:
+        if _paired(line):
             pairs += size
         b = line.count("|")
         if b >= 2:
@@ -91,16 +113,13 @@ def _statistics(text: str, *commons: frozenset[str]) -> list[list[float]]:
         if before is not None and any(x >= 1 and x == y for x, y in zip(now, before)) and (now[0] >= 2 or now[1] >= 2 and not s or now[2] >= 1 or now[3] >= 1):
             columns += size
         before = now
-    mute = 0
-    for w, k in Counter(tokens).items():
-        if len(w) > 3 and "a" <= w[0] <= "ÿ":
-            v = len(_VOWELS.findall(w))
-            if v == 0 or len(w) > 6 and 5 * v < len(w):
-                mute += len(w) * k
+    mute = sum([_mute(w) * k for w, k in counts.items() if len(w) > 3 and "a" <= w[0] <= "ÿ"])
     shares = [sum(map(common.__contains__, tokens)) / max(n, 1) for common in commons]
     stops = len(_STOP.findall(low))
     digits = sum([len(t) for t in tokens if t[0].isdigit()])
-    codes = sum(map(len, _CODES.findall(low)))
+    # Of the codes, only those without a sign of their own need a long word with a digit.
+    coded = "/g" in low or "(cid:" in low or any([c in low for c in _BOXES]) or any([len(w) > 11 and not w.isalpha() for w in counts])
+    codes = sum(map(len, _CODES.findall(low))) if coded else 0
     return [
         [
             math.log1p(words),
@@ -135,7 +154,7 @@ def _shape(line: str) -> str:
         return "g"
     if line.count("|") >= 2 or "\t" in line:
         return "t"
-    if ("=" in line or ": " in line) and len(_PAIR.findall(line)) >= 2:
+    if _paired(line):
         return "t"
     if "  " in line and len(_GAP.findall(line)) >= 2:
         return "t"
@@ -238,7 +257,7 @@ EXAMPLES = {
 
 
 def _word_counts(chunks: DataFrame) -> DataFrame:
-    """(word, n): distinct texts per word."""
+    """(word, n): distinct texts per word, and all of them for the word ''."""
 
     def make():
         seen: Counter[str] = Counter()
@@ -249,6 +268,7 @@ def _word_counts(chunks: DataFrame) -> DataFrame:
             return out
 
         def f(c):
+            seen[""] += len(c["texto"])
             for t in c["texto"]:
                 seen.update(set(TOKEN.findall(t.lower())))
             return flush() if len(seen) > 150_000 else None
@@ -260,28 +280,111 @@ def _word_counts(chunks: DataFrame) -> DataFrame:
     return map_rows(texts, make, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _common(chunks: DataFrame, sample: int) -> tuple[frozenset[str], frozenset[str]]:
+    """The COMMON words that most distinct texts hold, of those that at least two do; of them, those that two in ``sample`` texts hold."""
+    # The word '' is in all texts, so it comes first.
+    top = [tuple(r) for r in _word_counts(chunks).where("n > 1 OR word = ''").orderBy(F.desc("n"), "word").limit(COMMON + 1).collect()]
+    total = top[0][1] if top else 0
+    words = top[1:]
+    return frozenset(w for w, _ in words), frozenset(w for w, n in words if n * sample >= 2 * total)
+
+
 def common_words(chunks: DataFrame) -> frozenset[str]:
     """The COMMON words that most distinct texts hold, of those that at least two do."""
-    top = _word_counts(chunks).where("n > 1").orderBy(F.desc("n"), "word").limit(COMMON)
-    return frozenset(r[0] for r in top.select("word").collect())
-
-
-def fit(chunks: DataFrame, sample: int = SAMPLE) -> tuple[frozenset[str], mixture.Mixture, np.ndarray]:
-    """The common words of the sample, the mixture and the class of each component (rows: components, columns: CLASSES)."""
-    total = chunks.count()
-    bound = int(min(1.0, sample / max(total, 1)) * (1 << 31))
-    chosen = chunks.where((F.pmod(F.xxhash64(F.col("chunk_id"), F.lit(3)), F.lit(1 << 31)) < bound) & F.col("texto").isNotNull()).select("texto").distinct().orderBy("texto")
-    texts = [r[0] for r in chosen.toLocalIterator()]
-    seen: Counter[str] = Counter()
-    for t in texts:
-        seen.update(set(TOKEN.findall(t.lower())))
-    common = frozenset(w for w, k in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:COMMON] if k > 1)
+    return _common(chunks, SAMPLE)[0]
+
+
+def _measured(src: DataFrame, common: frozenset[str], words: frozenset[str] | None) -> DataFrame:
+    """Per chunk_id the hash of its text, the sizes and the statistics of its parts by ``common``, and those of the whole text by ``words`` if given."""
+
+    def make():
+        def f(c):
+            rows: list[list[float]] = []
+            ends = [0]
+            sizes = []
+            whole: list[list[float]] = []
+            for t in c["texto"]:
+                cut: list[str] = []
+                given = [0.0] * len(STATS)
+                if t and not t.isspace():
+                    cut = parts(t)
+                    if words is None:
+                        rows += [statistics(p, common) for p in cut]
+                    elif len(cut) == 1:
+                        own, given = _statistics(cut[0], common, words)
+                        rows.append(own)
+                    else:
+                        rows += [statistics(p, common) for p in cut]
+                        given = statistics(t, words)
+                sizes.append([len(p) for p in cut])
+                ends.append(len(rows))
+                whole.append(given)
+            x = np.array(rows, np.float64).reshape(-1, len(STATS))
+            out = {"chunk_id": c["chunk_id"], "k": c["k"], "sizes": sizes, "own": [x[i:j].tobytes() for i, j in zip(ends, ends[1:])]}
+            return out if words is None else out | {"whole": [w.tobytes() for w in np.array(whole, np.float64)]}
+
+        return f
+
+    schema = "chunk_id string, k bigint, sizes array<int>, own binary" + (", whole binary" if words is not None else "")
+    got = map_rows(src.select("chunk_id", "texto", F.xxhash64("texto").alias("k")), make, schema)
+    # Small rows, not texts, meet here; equal ids have equal texts.
+    return store(got.groupBy("chunk_id").agg(*[F.first(n).alias(n) for n in got.columns[1:]]), "quality")
+
+
+def _rows(blobs: list[bytes], kind: type = np.float64) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), kind).reshape(-1, len(STATS))
+
+
+def _blocks(measured: DataFrame) -> DataFrame:
+    """The vectors of the parts of all distinct texts, packed in single precision: what is in a block depends on the texts alone."""
+    texts = measured.where(F.length("own") > 0).select("k", "own").distinct()
+    n = max(1, math.ceil(measured.count() / PACK))
+    placed = texts.repartition(n, "k").sortWithinPartitions("k", "own")
+    return store(map_rows(placed, lambda: lambda c: {"block": [_rows(c["own"]).astype(np.float32).tobytes()]}, "block binary"), "quality")
+
+
+def _grains(x: np.ndarray) -> np.ndarray:
+    return np.rint(x / GRAIN).astype(np.int64)
+
+
+def _total(blocks: DataFrame, sums: Callable[[np.ndarray], np.ndarray], more: np.ndarray) -> np.ndarray:
+    """``sums`` of all blocks and of the rows ``more``, added; whole numbers of grains add up to the same in any order."""
+
+    def make():
+        got: list[np.ndarray] = []
+
+        def f(c):
+            for b in c["block"]:
+                one = _grains(sums(_rows([b], np.float32).astype(np.float64)))
+                got[:] = [got[0] + one if got else one]
+
+        f.rest = lambda: {"sums": [got[0].tobytes()]} if got else None
+        return f
+
+    out = _grains(sums(more))
+    for r in map_rows(blocks.coalesce(TASKS), make, "sums binary").collect():
+        out = out + np.frombuffer(r[0], np.int64).reshape(out.shape)
+    return out * GRAIN
+
+
+def _moments(x: np.ndarray) -> np.ndarray:
+    return np.vstack([np.full(x.shape[1], len(x)), x.sum(0), (x**2).sum(0)])
+
+
+def fit(measured: DataFrame, common: frozenset[str]) -> tuple[mixture.Mixture, np.ndarray]:
+    """The mixture of all parts, and the class of each component (rows: components, columns: CLASSES)."""
     # The words of readable examples are common by themselves, whatever the corpus is about.
     own = {c: common | {w for t in ts for w in TOKEN.findall(t.lower())} if c != "basura" else common for c, ts in EXAMPLES.items()}
     known = [(CLASSES.index(c), statistics(t, own[c])) for c, ts in EXAMPLES.items() for t in ts]
-    x = np.array([statistics(p, common) for t in texts for p in parts(t)] + [e for _, e in known], np.float64)
-    m = mixture.fit(x, COMPONENTS, ROUNDS)
     e = np.array([v for _, v in known])
+    blocks = _blocks(measured)
+    n, one, two = _total(blocks, _moments, e)
+    mean = one / n
+    scale = np.sqrt(np.maximum(two / n - mean**2, 0))
+    scale = np.where(scale > 1e-4, scale, 1.0)
+    m = mixture.begin(mean, scale, mixture.apart((e - mean) / scale, COMPONENTS))
+    m = mixture.climb(m, ROUNDS, lambda m: _total(blocks, replace(m).sums, e))
+    drop(blocks)
     votes = np.zeros((len(m.weights), len(CLASSES)))
     np.add.at(votes.T, np.array([c for c, _ in known]), m.posterior(e))
     # A component that no example belongs to goes with the example nearest to its centre.
@@ -289,7 +392,7 @@ def fit(chunks: DataFrame, sample: int = SAMPLE) -> tuple[frozenset[str], mixtur
     near = np.zeros_like(votes)
     near[np.arange(len(near)), np.array([known[i][0] for i in gap.argmin(1)])] = 1
     votes += 0.05 * near
-    return common, m, votes / votes.sum(1, keepdims=True)
+    return m, votes / votes.sum(1, keepdims=True)
 
 
 def chunk_quality(chunks: DataFrame, chunk_id: str = "chunk_id", texto: str = "texto", sample: int = SAMPLE) -> DataFrame:
@@ -298,57 +401,39 @@ def chunk_quality(chunks: DataFrame, chunk_id: str = "chunk_id", texto: str = "t
     ``clase`` is 'prosa' unless most of the characters lie in parts of other classes; then it is the largest of those.
     Null, empty and blank texts count as prose with statistics of 0 and certainty 1. Rows that repeat a chunk_id are
     taken to have its text. Texts are read whole; an empty table gives an empty result. ``comunes`` and ``ajeno`` go by
-    the common words of all texts.
+    the common words of all texts; the mixture goes by those of them that two in ``sample`` of all texts hold.
     """
     src = chunks.select(F.col(chunk_id).alias("chunk_id"), F.col(texto).alias("texto")).where("chunk_id IS NOT NULL")
-    return _classified(src, sample, common_words(src))
+    words, common = _common(src, sample)
+    return _classified(_measured(src, common, words), common)
 
 
-def _classified(src: DataFrame, sample: int, words: frozenset[str]) -> DataFrame:
-    """The rows of ``chunk_quality``, with ``comunes`` and ``ajeno`` by the given words."""
-    common, m, classes = fit(src, sample)
+def _classified(measured: DataFrame, common: frozenset[str]) -> DataFrame:
+    """The rows of ``_measured`` with their class and its certainty."""
+    m, classes = fit(measured, common)
+    given = "whole" in measured.columns
 
     def make():
         def f(c):
-            rows: list[list[float]] = []
-            sizes: list[int] = []
-            ends = [0]
-            whole = []
-            for t in c["texto"]:
-                if t and not t.isspace():
-                    cut = parts(t)
-                    sizes += [len(p) for p in cut]
-                    if len(cut) == 1:
-                        own, given = _statistics(cut[0], common, words)
-                        rows.append(own)
-                        whole.append(given)
-                    else:
-                        rows += [statistics(p, common) for p in cut]
-                        whole.append(statistics(t, words))
-                else:
-                    whole.append([0.0] * len(STATS))
-                ends.append(len(rows))
-            p = m.posterior(np.array(rows)) @ classes if rows else np.zeros((0, len(CLASSES)))
-            best = p.argmax(1)
-            names, sure = [], []
-            for a, b in zip(ends, ends[1:]):
-                weight = np.zeros(len(CLASSES))
-                for i in range(a, b):
-                    weight[best[i]] += sizes[i]
-                k = int(weight[1:].argmax()) + 1 if weight[0] * 2 < weight.sum() else 0
-                names.append(CLASSES[k])
-                sure.append(float(weight[k] / weight.sum()) if b > a else 1.0)
-            return {"chunk_id": c["chunk_id"], "clase": names, "certeza": sure} | {n: [w[i] for w in whole] for i, n in enumerate(STATS)}
+            rows = _rows(c["own"])
+            best = (m.posterior(rows) @ classes).argmax(1)
+            at = np.repeat(np.arange(len(c["sizes"])), [len(x) for x in c["sizes"]])
+            weight = np.zeros((len(c["sizes"]), len(CLASSES)))
+            np.add.at(weight, (at, best), [n for x in c["sizes"] for n in x])
+            total = weight.sum(1)
+            k = np.where(weight[:, 0] * 2 < total, weight[:, 1:].argmax(1) + 1, 0)
+            sure = np.where(total > 0, weight[np.arange(len(k)), k] / np.maximum(total, 1), 1.0)
+            out = {"chunk_id": c["chunk_id"], "clase": [CLASSES[i] for i in k], "certeza": sure}
+            return out | dict(zip(STATS, _rows(c["whole"]).T.copy())) if given else out
 
         return f
 
-    got = map_rows(src, make, "chunk_id string, clase string, certeza double, " + ", ".join(f"{n} double" for n in STATS))
-    # Small rows, not texts, meet here; equal ids have equal texts.
-    return got.groupBy("chunk_id").agg(*[F.first(n).alias(n) for n in ("clase", "certeza", *STATS)])
+    return map_rows(measured, make, "chunk_id string, clase string, certeza double" + "".join(f", {n} double" for n in STATS if given))
 
 
 def found(chunks: DataFrame) -> DataFrame:
     """(chunk_id, clase): the chunks most of whose text is not running prose."""
     src = chunks.select("chunk_id", "texto").where("chunk_id IS NOT NULL")
-    # No statistic is given out here, so the words of all texts need no count.
-    return _classified(src, SAMPLE, frozenset()).where("clase <> 'prosa'").select("chunk_id", "clase")
+    common = _common(src, SAMPLE)[1]
+    # No statistic is given out here, so those of whole texts need no count.
+    return _classified(_measured(src, common, None), common).where("clase <> 'prosa'").select("chunk_id", "clase")

@@ -177,6 +177,48 @@ def test_common_words_are_those_of_all_chunks(spark):
     assert quality.common_words(d) == want
 
 
+def test_mixture_and_its_words_are_of_all_chunks(spark):
+    texts = [prose(i, 3) for i in range(60)] + [f"- uno{i % 7}\n- dos\n- tres solo{i} de la lista de la oficina" for i in range(40)]
+    rows = [(f"c{i}", t) for i, t in enumerate(texts)] + [("otra", texts[0]), ("c1", texts[1]), ("vacío", " "), ("nulo", None)]
+    d = spark.createDataFrame(rows, "chunk_id string, texto string")
+    seen = {}
+    for t in texts:
+        for w in set(quality.TOKEN.findall(t.lower())):
+            seen[w] = seen.get(w, 0) + 1
+    # Two in 20 of 101 distinct texts are 10.1.
+    common = quality._common(d, 20)[1]
+    assert common == frozenset(w for w, k in seen.items() if k > 10) and "uno1" not in common
+    assert quality._common(d, 1000)[1] == quality.common_words(d) == frozenset(w for w, k in seen.items() if k > 1)
+    m, classes = quality.fit(quality._measured(d, common, None), common)
+    own = {c: common | {w for t in ts for w in quality.TOKEN.findall(t.lower())} if c != "basura" else common for c, ts in quality.EXAMPLES.items()}
+    x = np.array([quality.statistics(p, common) for t in texts for p in quality.parts(t)] + [quality.statistics(t, own[c]) for c, ts in quality.EXAMPLES.items() for t in ts])
+    assert np.allclose(m.mean, x.mean(0), atol=1e-5) and np.allclose(m.weights @ m.centres, 0, atol=1e-3)
+    again, same = quality.fit(quality._measured(d.repartition(7), common, None), common)
+    assert (again.centres == m.centres).all() and (again.variances == m.variances).all() and (same == classes).all()
+
+
+@pytest.mark.parametrize("size", [5, 500])
+def test_classes_are_the_same_in_a_larger_table(spark, size):
+    thai = ["สำนักงานท่าเรือทดสอบโครงการวิจัยต่อหน้ากรรมการ ", "มหาวิทยาลัยทบทวนรายงานประจำปีก่อนฤดูแล้ง ", "หอจดหมายเหตุแก้ไขสายเคเบิลใต้น้ำจากภาพกลางคืน "]
+    rng = random.Random(4)
+    chunk = [(f"p{i}", prose(i)) for i in range(size)] + [(f"t{i}", "".join(rng.choice(thai) for _ in range(6))) for i in range(size // 5)]
+    chunk += [(f"l{i}", "\n".join(f"- cosa {j} de la lista" for j in range(9 + i))) for i in range(5)] + [("b", "/g12 /g99 /g104 /g7 " * 20)]
+    d = spark.createDataFrame(chunk, "chunk_id string, texto string")
+    assert {r.chunk_id: r.clase for r in quality.found(d).collect()} == {**{f"l{i}": "lista" for i in range(5)}, "b": "basura"}
+
+
+def test_codes_and_pairs_by_their_plain_patterns():
+    rng = random.Random(9)
+    signs = "aeix019f/g(cid:)=;| \n.□ｶ中é\u0301_:"
+    at = quality.STATS.index("codigos"), quality.STATS.index("pares")
+    for _ in range(500):
+        t = "".join(rng.choice(signs) for _ in range(90)) + rng.choice(["", " 0a1b2c3d4e5f6a", " 0a1b2c3d4e5f6a\u0301", "_0a1b2c3d4e5f"])
+        got = quality.statistics(t, frozenset())
+        lines = [x for x in map(str.strip, t.split("\n")) if x]
+        assert got[at[0]] == sum(map(len, quality._CODES.findall(t.lower()))) / len("".join(t.split()))
+        assert got[at[1]] == sum(len(x) for x in lines if len(quality._PAIR.findall(x)) > 1) / sum(map(len, lines))
+
+
 @pytest.mark.parametrize("times", [10, 200])
 def test_repeated_junk_counts_at_every_size(times):
     at = quality.STATS.index("sin_vocal")
