@@ -30,8 +30,26 @@ def _ranges(keep) -> str:
 SPACED = _ranges(lambda c: unicodedata.category(c)[0] in "LMN" and not _unspaced.match(c))
 #: A word, or one character of a script without blanks.
 TOKEN = re.compile(f"[{UNSPACED}]|[{SPACED}]+")
+_KEPT = bytes(c if re.match(f"[{SPACED}]", chr(c)) else 32 for c in range(256))
+_BLANKS = bytes(c for c in range(256) if chr(c).isspace())
 INVISIBLE = re.compile("[­؀-؅؜᠎​-‏‪-‮⁠-⁤⁦-⁯﻿￹-￻]+")
 
 
 def is_wide(token: str) -> bool:
     return len(token) == 1 and token >= FIRST_UNSPACED and _unspaced.match(token) is not None
+
+
+def tokens(text: str) -> list[str]:
+    """The words of a text as TOKEN finds them; Latin-1 has none without blanks, and is cut without ``re``."""
+    try:
+        return text.encode("latin-1").translate(_KEPT).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return TOKEN.findall(text)
+
+
+def solid(text: str) -> int:
+    """The number of characters that are no blanks."""
+    try:
+        return len(text.encode("latin-1").translate(None, _BLANKS))
+    except UnicodeEncodeError:
+        return len("".join(text.split()))

@@ -43,9 +43,12 @@ class Mixture:
         p += np.log(self.weights) - 0.5 * ((self.centres**2 * inv).sum(1) + np.log(self.variances).sum(1) + z.shape[1] * np.log(2 * np.pi))
         top = p.max(1, keepdims=True)
         p -= top
-        # Far below any rounding, but numbers so small that they are slow to reckon with don't come up.
-        np.maximum(p, -100.0, out=p)
-        np.exp(p, out=p)
+        # Few components matter to a row; what is far below any rounding is 0.
+        flat = p.reshape(-1)
+        near = np.flatnonzero(flat > -100.0)
+        shares = np.exp(flat[near])
+        flat[:] = 0
+        flat[near] = shares
         total = p.sum(1, keepdims=True)
         p /= total
         out = np.zeros((len(self.weights) + 1, 1 + y.shape[1]))

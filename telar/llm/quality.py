@@ -14,7 +14,6 @@ import re
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import replace
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from telar.functions.batches import map_rows
 from telar.llm import mixture
-from telar.llm.chars import FIRST_UNSPACED, TOKEN, is_wide
+from telar.llm.chars import TOKEN, is_wide, solid, tokens
 from telar.session import drop, store
 
 CLASSES = ("prosa", "lista", "tabla", "basura")
@@ -36,18 +35,25 @@ COMMON = 20_000
 PACK = 50_000
 #: Tasks that sum over the vectors, at most: the driver gets 14 KB from each.
 TASKS = 1000
+#: Words whose numbers a task keeps at hand, at most, and the longest of them.
+KEPT, LONGEST = 100_000, 64
 #: Sums of a block are rounded to this, so that their order can't tell.
 GRAIN = 2.0**-20
 
 _ITEM = re.compile(r"(?:[-–—•▪◦·‣*●○■]|\(?\d{1,3}[.)]|\d{1,3} [-–]|[(]?[a-zа-я][.)]|[(]?[A-ZА-Я]\)|[ivx]{1,5}[.)])\s+\S")
 _LEADER = re.compile(r"(?:\.{4,}|…{2,}|(?: \.){4,}|_{4,})\s*\d+\s*$")
 _PAIR = re.compile(r"[^\W\d_][\w ]{0,25}(?:=|: )")
+#: What stands before the sign in a match of _PAIR: it can't hold "=" or ":", so there is a match for each sign with this before it.
+_NAME = re.compile(r"[^\W\d_][\w ]{0,25}\Z")
 _GAP = re.compile(r"\S(?: {2,}|\t+)(?=\S)")
 _STOP = re.compile(r"[.!?।؟。！？…](?:(?<=[。！？…])|(?=[\s\"'”»)\]]|$))")
 _CODES = re.compile(r"/g\d+|\(cid:\d+\)|\b(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{12,}\b|[�□▯◇■◆▢]")
 _BOXES = "�□▯◇■◆▢"
 _VOWELS = re.compile(r"[aeiouyáéíóúàèìòùâêîôûãõäëïöüæœåø]")
-_ENDS = tuple(".!?。！？।؟…:”»\"’)）」")
+_ENDS = frozenset(".!?。！？।؟…:”»\"’)）」")
+#: Bits of a sum over the words of a text, which has fewer than 2**31 characters.
+_BITS = 32
+_MASK = (1 << _BITS) - 1
 
 STATS = (
     "palabras", "largo_palabra", "simbolos", "cifras", "fin_linea", "comunes", "frases", "palabras_linea", "items", "guias", "puntoycoma", "pares", "columnas", "barras", "huecos", "codigos", "sin_vocal", "letras", "renglones", "ajeno", "sin_punto",
@@ -56,56 +62,97 @@ STATS = (
 
 def _paired(line: str) -> bool:
     """Two names at least, each with a value after it."""
-    return line.count("=") + line.count(": ") >= 2 and len(_PAIR.findall(line)) >= 2
+    if line.count("=") + line.count(": ") < 2:
+        return False
+    names = 0
+    for before in line.replace(": ", "=").split("=")[:-1]:
+        names += _NAME.search(before[-26:]) is not None
+        if names == 2:
+            return True
+    return False
 
 
-@lru_cache(maxsize=100_000)
 def _mute(word: str) -> int:
     """The length of a word with hardly a vowel, 0 for others."""
     v = len(_VOWELS.findall(word))
     return len(word) if v == 0 or len(word) > 6 and 5 * v < len(word) else 0
 
 
+class _Words(dict):
+    """What each word adds to the sums over a text, by one or two lists of common words: numbers of _BITS bits, packed into one."""
+
+    def __init__(self, common: frozenset[str], other: frozenset[str] = frozenset()):
+        super().__init__()
+        self.lists = common, other
+
+    def __missing__(self, w: str) -> int:
+        common, other = self.lists
+        n = len(w)
+        # What is rarely above 0 comes last, so that most numbers are small.
+        out = n + (1 << _BITS if w in common else 0) + (1 << 2 * _BITS if w in other else 0)
+        if w[0].isdigit():
+            out += n << 3 * _BITS
+        if n > 3 and "a" <= w[0] <= "ÿ":
+            out += _mute(w) << 4 * _BITS
+        if is_wide(w):
+            out += 1 << 5 * _BITS
+        if n > 11 and not w.isalpha():
+            out += 1 << 6 * _BITS
+        if n <= LONGEST:
+            if len(self) >= KEPT:
+                self.clear()
+            self[w] = out
+        return out
+
+    def sums(self, words: list[str]) -> list[int]:
+        """Their characters, how many either list holds, the characters of numbers and of words with hardly a vowel, the unspaced ones, those that may be codes."""
+        total = sum(map(self.__getitem__, words))
+        return [total >> _BITS * i & _MASK for i in range(7)]
+
+
 def statistics(text: str, common: frozenset[str]) -> list[float]:
     """The statistics of one text, in the order of STATS; shares are of characters in lines unless said otherwise."""
-    return _statistics(text, common)[0]
+    return _statistics(text, _Words(common))[0]
 
 
-def _statistics(text: str, *commons: frozenset[str]) -> list[list[float]]:
-    """The statistics by each of several lists of common words."""
+def _statistics(text: str, known: _Words) -> list[list[float]]:
+    """The statistics by either list of common words."""
     lines = [x for x in map(str.strip, text.split("\n")) if x]
     chars = sum(map(len, lines))
     if not chars:
-        return [[0.0] * len(STATS) for _ in commons]
+        return [[0.0] * len(STATS)] * 2
     low = text.lower()
-    tokens = TOKEN.findall(low)
-    counts = Counter(tokens)
-    n = len(tokens)
-    wide = sum([k for w, k in counts.items() if is_wide(w)]) if max(counts, default="") >= FIRST_UNSPACED else 0
+    found = tokens(low)
+    n = len(found)
+    letters, usual, other, digits, mute, wide, long = known.sums(found)
     # An unspaced word is taken as two characters.
     words = max(n - wide / 2, 1)
-    letters = sum(map(len, tokens))
-    blanks = len(text) - len("".join(text.split()))
-    solid = max(len(text) - blanks, 1)
+    full = max(solid(text), 1)
+    # What no line can hold isn't looked for in each.
+    dotted = "...." in text or "…" in text
+    gapped = "  " in text or "\t" in text
+    split = gapped or ";" in text or "|" in text
     items = leaders = semis = pairs = columns = bars = gaps = ended = 0
     before: tuple[int, int, int, int] | None = None
     for line in lines:
         size = len(line)
-        if line.endswith(_ENDS):
+        if line[-1] in _ENDS:
             ended += size
         if _ITEM.match(line):
             items += size
-        if line[-1].isdigit() and ("...." in line or "…" in line) and _LEADER.search(line):
+        if dotted and line[-1].isdigit() and ("...." in line or "…" in line) and _LEADER.search(line):
             leaders += size
+        if _paired(line):
+            pairs += size
+        if not split:
+            continue
         s = line.count("; ")
         if s >= 2 and s >= line.count(". "):
             semis += size
-        if _paired(line):
-            pairs += size
         b = line.count("|")
         if b >= 2:
             bars += size
-        g = len(_GAP.findall(line)) if "  " in line or "\t" in line else 0
+        g = len(_GAP.findall(line)) if gapped and ("  " in line or "\t" in line) else 0
         if g:
             gaps += size * min(1.0, 6.0 * g / max(1, len(line.split())))
         now = (b, line.count(";"), line.count("\t"), g)
@@ -113,21 +160,18 @@ def _statistics(text: str, *commons: frozenset[str]) -> list[list[float]]:
         if before is not None and any(x >= 1 and x == y for x, y in zip(now, before)) and (now[0] >= 2 or now[1] >= 2 and not s or now[2] >= 1 or now[3] >= 1):
             columns += size
         before = now
-    mute = sum([_mute(w) * k for w, k in counts.items() if len(w) > 3 and "a" <= w[0] <= "ÿ"])
-    shares = [sum(map(common.__contains__, tokens)) / max(n, 1) for common in commons]
     stops = len(_STOP.findall(low))
-    digits = sum([len(t) for t in tokens if t[0].isdigit()])
     # Of the codes, only those without a sign of their own need a long word with a digit.
-    coded = "/g" in low or "(cid:" in low or any([c in low for c in _BOXES]) or any([len(w) > 11 and not w.isalpha() for w in counts])
+    coded = "/g" in low or "(cid:" in low or any([c in low for c in _BOXES]) or long
     codes = sum(map(len, _CODES.findall(low))) if coded else 0
     return [
         [
             math.log1p(words),
             min(letters / words, 40.0),
-            1 - letters / solid if letters < solid else 0.0,
-            digits / solid,
+            1 - letters / full if letters < full else 0.0,
+            digits / full,
             ended / chars,
-            usual,
+            share,
             min(stops / words, 0.3) * 20,
             math.log1p(words / len(lines)),
             items / chars,
@@ -137,14 +181,14 @@ def _statistics(text: str, *commons: frozenset[str]) -> list[list[float]]:
             columns / chars,
             bars / chars,
             gaps / chars,
-            codes / solid,
-            mute / solid,
-            letters / solid,
+            codes / full,
+            mute / full,
+            letters / full,
             math.log1p(len(lines)),
-            float(n >= 8 and usual < 0.3),
+            float(n >= 8 and share < 0.3),
             float(stops == 0),
         ]
-        for usual in shares
+        for share in (usual / max(n, 1), other / max(n, 1))
     ]
 
 
@@ -182,7 +226,7 @@ def parts(text: str) -> list[str]:
             # A line without a full stop goes on with the sentence before it, unless none is open and no capital begins one.
             k = "u" if (shapes[-1] == "u" if shapes else False) or (stopped and line[0].islower()) else "p" if not stopped or line[0].isupper() else "u"
         shapes.append(k)
-        stopped = line.endswith(_ENDS) or k not in "pu"
+        stopped = line[-1] in _ENDS or k not in "pu"
     out: list[list[str]] = []
     kinds: list[str] = []
     for line, k in zip(lines, shapes):
@@ -270,7 +314,7 @@ def _word_counts(chunks: DataFrame) -> DataFrame:
         def f(c):
             seen[""] += len(c["texto"])
             for t in c["texto"]:
-                seen.update(set(TOKEN.findall(t.lower())))
+                seen.update(set(tokens(t.lower())))
             return flush() if len(seen) > 150_000 else None
 
         f.rest = flush
@@ -298,6 +342,8 @@ def _measured(src: DataFrame, common: frozenset[str], words: frozenset[str] | No
     """Per chunk_id the hash of its text, the sizes and the statistics of its parts by ``common``, and those of the whole text by ``words`` if given."""
 
     def make():
+        known = _Words(common, words or frozenset())
+
         def f(c):
             rows: list[list[float]] = []
             ends = [0]
@@ -308,14 +354,10 @@ def _measured(src: DataFrame, common: frozenset[str], words: frozenset[str] | No
                 given = [0.0] * len(STATS)
                 if t and not t.isspace():
                     cut = parts(t)
-                    if words is None:
-                        rows += [statistics(p, common) for p in cut]
-                    elif len(cut) == 1:
-                        own, given = _statistics(cut[0], common, words)
-                        rows.append(own)
-                    else:
-                        rows += [statistics(p, common) for p in cut]
-                        given = statistics(t, words)
+                    got = [_statistics(p, known) for p in cut]
+                    rows += [x[0] for x in got]
+                    if words is not None:
+                        given = (got[0] if len(cut) == 1 else _statistics(t, known))[1]
                 sizes.append([len(p) for p in cut])
                 ends.append(len(rows))
                 whole.append(given)

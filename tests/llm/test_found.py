@@ -1,12 +1,13 @@
 """Each operator against nulls, empty and very long texts, repeats, empty tables and clashing columns, and against a plain version of itself."""
 
 import random
+import sys
 import unicodedata
 
 import numpy as np
 import pytest
 
-from telar.llm import encoding, filters, language, leakage, lookalike, mixture, mojibake, quality, repetition, scans, sentences, trees
+from telar.llm import chars, encoding, filters, language, leakage, lookalike, mixture, mojibake, quality, repetition, scans, sentences, trees
 
 DOC = "doc_id long, text string, lang string, formato string, k string, n int, form string, word string"
 ES = "El comité publicó el informe anual y la oficina revisó los datos de las estaciones. "
@@ -64,6 +65,15 @@ def test_mixture_finds_its_components():
     assert np.allclose(m.posterior(x).sum(1), 1)
 
 
+def test_sums_of_a_mixture_are_those_of_its_posterior():
+    x = np.random.default_rng(3).normal(0, 30, (300, 4))
+    m = mixture.fit(x, 12, 5)
+    p, z = m.posterior(x), m.standard(x)
+    got = m.sums(x)
+    assert np.allclose(got[:-1], np.hstack([p.sum(0)[:, None], p.T @ z**2, p.T @ z]))
+    assert got[-1, 0] == pytest.approx(np.logaddexp.reduce(m.log_parts(x), axis=1).sum())
+
+
 # --- 1 repetition
 
 
@@ -225,6 +235,41 @@ def test_repeated_junk_counts_at_every_size(times):
     assert quality.statistics("xkcdq palabra brtzn " * times, frozenset())[at] == pytest.approx(10 / 17)
 
 
+def test_no_step_for_each_word():
+    t = "El plan 2024 de la ñandú brtzn 文字 ок. "
+    calls = []
+    for times in (50, 5000):
+        n = 0
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            quality.statistics(t * times, frozenset({"plan"}))
+        finally:
+            sys.setprofile(None)
+        calls.append(n)
+    assert calls[0] == calls[1] < 500
+
+
+def test_words_by_their_plain_definitions(monkeypatch):
+    monkeypatch.setattr(quality, "KEPT", 20)
+    rng = random.Random(4)
+    signs = "aeiobcdxñµ²½éйŒ19٣๑中ー \t\xa0\x85’._|\n"
+    common, other = frozenset({"a", "ab", "й", "中"}), frozenset({"a", "e"})
+    known = quality._Words(common, other)
+    for _ in range(500):
+        t = "".join(rng.choice(signs) * rng.choice([1, 1, 1, 1, 80]) for _ in range(60))
+        words = quality.TOKEN.findall(t)
+        assert chars.tokens(t) == words and chars.solid(t) == len("".join(t.split()))
+        digits = sum(len(w) for w in words if w[0].isdigit())
+        mute = sum(quality._mute(w) for w in words if len(w) > 3 and "a" <= w[0] <= "ÿ")
+        assert known.sums(words) == [sum(map(len, words)), sum(w in common for w in words), sum(w in other for w in words), digits, mute, sum(map(chars.is_wide, words)), sum(len(w) > 11 and not w.isalpha() for w in words)]
+        assert len(known) <= 20 and all(len(w) <= quality.LONGEST for w in known)
+
+
 # --- 4 sentences
 
 LEX = sentences.Lexicon(frozenset("el la los de en y que nada según the no a an of".split()), frozenset({"Dr", "Sra", "pág", "núm", "art"}))
